@@ -195,14 +195,18 @@ def service_minutes(services: DataFrame, types: DataFrame, iep: DataFrame, as_of
                 & (is_blank("consultation") | equals("consultation", "0")) & is_false("extended_school_year"))
     aide = F.col("serviceid") == AIDE_SERVICE
     counted = types.where(is_blank("exclude_from_618")).groupBy("serviceid").agg(F.count(F.lit(1)).alias("types"))
-    log = (services.where((F.col("inactive") == "0") & (in_class | aide))
-           .join(counted, "serviceid", "left"))
+    log = services.where((F.col("inactive") == "0") & (in_class | aide))
     active = (as_moment("begin_date") <= today) & (as_moment("end_date") >= today)
+    if not include_expired:
+        log = log.where(active)
+    in_class = in_class & F.col("types").isNotNull()
+    log = log.join(counted, "serviceid", "left").where(in_class | aide)
     minutes = minutes_36ths()
     parts = {"outside": F.when(in_class & (place == "outside"), minutes * F.col("types").cast("decimal(6,0)")),
              "inside": F.when(in_class & (place == "inside"), minutes * F.col("types").cast("decimal(6,0)")),
              "aide": F.when(aide, minutes)}
-    sums = [F.sum(F.when(active, p)).alias(f"{n}_active") for n, p in parts.items()]
+    sums = [F.count_if(active).alias("active")] + [F.sum(F.when(active, p)).alias(f"{n}_active")
+                                                   for n, p in parts.items()]
     if include_expired:
         sums += [F.sum(p).alias(f"{n}_all") for n, p in parts.items()]
     per_event = log.groupBy("studentid", "district_code", F.col("eventid").alias("iep_id")).agg(*sums)
@@ -210,12 +214,12 @@ def service_minutes(services: DataFrame, types: DataFrame, iep: DataFrame, as_of
     held = iep.select(*STUDENT, "studentid", "iep_id", "iep_end_date").distinct()
     joined = held.join(per_event, ["studentid", "district_code", "iep_id"])
     ends = as_moment("iep_end_date")
-    if not include_expired:
-        joined = joined.where(ends >= today)
+    running = (ends >= today) & (F.col("active") > 0)
+    joined = joined.where(running | (ends < today) if include_expired else running)
 
     def chosen(part: str) -> Column:
-        running = F.when(ends >= today, F.col(f"{part}_active"))
-        return F.when(ends < today, F.col(f"{part}_all")).otherwise(running) if include_expired else running
+        now = F.col(f"{part}_active")
+        return F.when(ends < today, F.col(f"{part}_all")).otherwise(now) if include_expired else now
     return joined.groupBy(*STUDENT).agg(*[from_36ths(F.sum(chosen(p))).alias(f"{p}_minutes") for p in parts])
 
 
