@@ -16,7 +16,7 @@ from rollbook.plans import profiles as pr
 from rollbook.plans import recent as rc
 from rollbook.plans import risk as rk
 from rollbook.plans import sped as sp
-from rollbook.sources import snapshot
+from rollbook.sources import snapshot, stage
 
 AS_OF = dt.datetime(2024, 1, 25, 12)
 
@@ -159,7 +159,7 @@ _SPED_EVENTS = """,
 def _current(t: Tables) -> tuple[DataFrame, DataFrame]:
     universe = sp.sped_students(feed(t, "sped_enrollments"), feed(t, "sped_students"))
     summary = sp.event_summary(feed(t, "sped_events"), feed(t, "amendments"))
-    return universe, sp.cancel_events(sp.current_events(universe, summary))
+    return universe, sp.cancel_events(stage(sp.current_events(universe, summary)))
 
 
 @query("D3,D4,D5,J7,W1,T8,T9", with_feeds(_SPED_FEEDS, _SPED_EVENTS + """

@@ -19,7 +19,8 @@ def _school(n: str) -> str:
 
 
 def _lea(n: str) -> str:
-    return _case(f"{n} % 6", ["1", "101", "102", "4002", "5000"], "'103'")
+    return (f"CASE {n} % 6 WHEN 0 THEN '1' WHEN 3 THEN '4002' WHEN 4 THEN '5000' "
+            f"ELSE CAST(100 + {n} % 6 AS STRING) END")
 
 
 def _label(n: str, labels: list[str]) -> str:
@@ -31,10 +32,13 @@ _SPELL = "o_orderkey % 25"                      # school of an order
 _GRADE = _case("o_orderkey % 11", ["09", "10", "11", "12", "C1", "P3", "08", "AW", "9", "05"], "'AT'")
 _DAY = "CAST(o_orderdate AS DATE)"
 _TERM = "CAST(CAST(EXTRACT(YEAR FROM o_orderdate) AS STRING) || '-09-01' AS DATE)"
-_SPELL_LEA = f"CASE WHEN o_orderkey % 17 = 0 THEN '104' ELSE {_lea(f'({_SPELL})')} END"
+# Orders with the school, LEA, exit code and exit day of the spell, each computed once.
 _EXIT_CODE = _case("o_custkey * 7 % 10 + o_orderkey % 3",
                    ["1940", "1942", "2002", "2040", "2043", "1999", "", None, "1944", "2041", "2042"], "'2002'")
 _EXIT_DAY = f"CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE {_DAY} + CAST(o_orderkey % 300 AS INT) END"
+_SPELLS = f"""(SELECT *, {_school(f'({_SPELL})')} AS school, {_EXIT_CODE} AS exit_code, {_EXIT_DAY} AS exit_day,
+                 CASE WHEN o_orderkey % 17 = 0 THEN '104' ELSE {_lea(f'({_SPELL})')} END AS lea
+                 FROM {{orders}}) spells"""
 _BORN = "DATE '1979-06-01' + CAST(o_custkey % 2200 AS INT)"
 _ID = "CAST(c_custkey AS STRING)"
 _HOME = "c_nationkey"
@@ -50,13 +54,13 @@ FEEDS: dict[str, str] = {
                {_BORN} AS date_of_birth, CASE WHEN o_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender_code,
                {_GRADE} AS enrollment_grade_level_code, CAST(o_custkey % 7 AS STRING) AS race_ethnicity_code,
                'Race ' || CAST(o_custkey % 5 AS STRING) AS race_ethnicity_desc,
-               CASE WHEN o_orderkey % 2 = 0 AND {_SPELL_LEA} = '1' THEN '001' ELSE {_SPELL_LEA} END
+               CASE WHEN o_orderkey % 2 = 0 AND lea = '1' THEN '001' ELSE lea END
                    AS enrollment_responsible_lea_id,
-               'LEA ' || {_SPELL_LEA} AS enrollment_responsible_lea_name,
-               {_school(f'({_SPELL})')} AS enrollment_attending_school_id,
-               'School ' || {_school(f'({_SPELL})')} AS enrollment_attending_school_name,
+               'LEA ' || lea AS enrollment_responsible_lea_name,
+               school AS enrollment_attending_school_id,
+               'School ' || school AS enrollment_attending_school_name,
                {_TERM} AS enrollment_stage5_date, '1800' AS enrollment_entry_code,
-               {_EXIT_DAY} AS enrollment_exit_date, {_EXIT_CODE} AS enrollment_exit_code,
+               exit_day AS enrollment_exit_date, exit_code AS enrollment_exit_code,
                CASE o_orderkey % 9 WHEN 0 THEN 'Stage 4' WHEN 1 THEN 'stage 5 ' ELSE 'Stage 5' END AS enrollment_stage,
                CASE o_orderstatus WHEN 'O' THEN 'Enrolled' WHEN 'F' THEN 'WITHDRAWN ' ELSE
                    CASE WHEN o_orderkey % 2 = 0 THEN 'Pending' ELSE 'enrolled' END END AS enrollment_status,
@@ -68,7 +72,7 @@ FEEDS: dict[str, str] = {
                CASE WHEN o_orderkey % 6 = 0 THEN 'Y' WHEN o_orderkey % 6 = 1 THEN 'N' WHEN o_orderkey % 6 = 2 THEN ''
                     ELSE NULL END AS accommodation_504,
                o_orderdate AS logdate
-        FROM {{orders}}""",
+        FROM {_SPELLS}""",
     "audit": f"""
         SELECT {_ID} AS usi, 'A' || CAST(c_custkey % 10 AS STRING) AS local_id, c_name AS last_name,
                c_mktsegment AS first_name, DATE '1979-06-01' + CAST(c_custkey % 2200 AS INT) AS date_of_birth,
@@ -82,9 +86,9 @@ FEEDS: dict[str, str] = {
         FROM {{customer}}""",
     # ------------------------------------------------------------ cohort
     "records": f"""
-        SELECT CAST(o_custkey AS STRING) AS usi, {_SPELL_LEA} AS lea_code, 'LEA ' || {_SPELL_LEA} AS lea_name,
-               {_school(f'({_SPELL})')} AS school_code,
-               CASE WHEN o_orderkey % 29 = 0 THEN 'non-public school ' ELSE 'School ' || {_school(f'({_SPELL})')} END
+        SELECT CAST(o_custkey AS STRING) AS usi, lea AS lea_code, 'LEA ' || lea AS lea_name,
+               school AS school_code,
+               CASE WHEN o_orderkey % 29 = 0 THEN 'non-public school ' ELSE 'School ' || school END
                    AS school_name,
                {_GRADE} AS current_enrolled_grade, 'First' || CAST(o_custkey AS STRING) AS first_name,
                'Last' || CAST(o_custkey AS STRING) AS last_name, {_BORN} AS date_of_birth,
@@ -93,9 +97,9 @@ FEEDS: dict[str, str] = {
                    CASE WHEN o_orderkey % 2 = 0 THEN '' ELSE NULL END END AS enrollment_status,
                CASE o_orderstatus WHEN 'O' THEN 'Enrolled' WHEN 'F' THEN 'withdrawn' ELSE
                    CASE WHEN o_orderkey % 4 < 2 THEN ' ' ELSE NULL END END AS enrollment_status_final,
-               {_TERM} AS stage5_entry_date, '1800' AS stage5_entry_code, {_EXIT_CODE} AS stage5_exit_code,
-               {_EXIT_DAY} AS stage5_exit_date
-        FROM {{orders}}""",
+               {_TERM} AS stage5_entry_date, '1800' AS stage5_entry_code, exit_code AS stage5_exit_code,
+               exit_day AS stage5_exit_date
+        FROM {_SPELLS}""",
     "degree_schools": f"""
         SELECT {_school('n_nationkey')} AS school_id, {_lea('n_nationkey')} AS lea_id,
                CASE WHEN n_nationkey % 3 = 0 THEN 'Y' ELSE 'N' END AS degree_granting,
@@ -108,13 +112,13 @@ FEEDS: dict[str, str] = {
         FROM {{nation}}""",
     "exits": f"""
         SELECT CAST(o_custkey AS STRING) AS usi,
-               CASE WHEN {_SPELL_LEA} = '1' THEN '001' ELSE {_SPELL_LEA} END AS leaid,
-               {_school(f'({_SPELL})')} AS schoolid, {_EXIT_CODE} AS enrollment_exit_code,
-               {_EXIT_DAY} + CASE WHEN {_SPELL_LEA} IN ('1', '101') THEN 1 ELSE 0 END AS enrollment_exit_date,
+               CASE WHEN lea = '1' THEN '001' ELSE lea END AS leaid,
+               school AS schoolid, exit_code AS enrollment_exit_code,
+               exit_day + CASE WHEN lea IN ('1', '101') THEN 1 ELSE 0 END AS enrollment_exit_date,
                CAST((o_orderkey + copy) % 6 AS INT) AS exitstatusid, CAST(o_orderkey % 4 AS INT) AS workflowid,
                CASE WHEN o_orderkey % 19 = 0 THEN '2016-17' ELSE '2017-18' END AS school_year
-        FROM (SELECT *, 0 AS copy FROM {{orders}} WHERE o_orderkey % 3 <> 0
-              UNION ALL SELECT *, 3 AS copy FROM {{orders}} WHERE o_orderkey % 7 = 0) spells""",
+        FROM (SELECT *, 0 AS copy FROM {_SPELLS} WHERE o_orderkey % 3 <> 0
+              UNION ALL SELECT *, 3 AS copy FROM {_SPELLS} WHERE o_orderkey % 7 = 0) copies""",
     "exit_status": """
         SELECT r_regionkey AS exitstatusid, CASE r_regionkey WHEN 0 THEN 'Pending Review' WHEN 1 THEN
                'OSSE Accepted Exits' WHEN 2 THEN 'OSSE NOt Accepted Exits' WHEN 3 THEN 'Closed' ELSE NULL END

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from rollbook import functions as fn
 from rollbook import operators as op
 from rollbook.catalog.registry import Tables, query
-from rollbook.plans.enrollments import dedupe_preferred as dedupe
 from rollbook.plans.recent import most_recent
 from rollbook.sources import since, snapshot, union_years
 
@@ -389,7 +388,7 @@ def best_flag_per_key(t: Tables) -> DataFrame:
        WHERE n > 1 AND (value > 20 OR event_type <> 'error')) x WHERE r = 1""")
 def dedupe_preferred(t: Tables) -> DataFrame:
     rows = t.events.select("user_id", "event_type", "event_id", "value")
-    return dedupe(rows, ["user_id", "event_type"], (F.col("value") > 20) | (F.col("event_type") != "error"), ["value"])
+    return op.dedupe_preferred(rows, ["user_id", "event_type"], (F.col("value") > 20) | (F.col("event_type") != "error"), ["value"])
 
 
 @query("W4,W5,D15", """
@@ -402,9 +401,8 @@ def dedupe_preferred(t: Tables) -> DataFrame:
     WHERE (l_returnflag = 'R' AND l_orderkey % 50 = 0) OR (NOT any_pref AND rn = 1)""")
 def tie_cascade(t: Tables) -> DataFrame:
     rows = t.lineitem.select("l_suppkey", "l_orderkey", "l_returnflag", F.year("l_shipdate").alias("m")).distinct()
-    top = op.latest(rows, ["l_suppkey"], ["m"], ties=True).drop("m")
     liked = (F.col("l_returnflag") == "R") & (F.col("l_orderkey") % 50 == 0)
-    return op.resolve_ties(top, ["l_suppkey"], liked, ["l_orderkey"])
+    return op.resolve_ties(rows, ["l_suppkey"], ["m"], liked, ["l_orderkey"]).drop("m")
 
 
 @query("A3,D23", """

@@ -14,10 +14,27 @@ from pyspark.sql import functions as F
 from rollbook.functions import col, norm
 
 
-def _packed(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> tuple[Column, list[str]]:
+def _struct(order: Sequence[Column], *more: Column) -> Column:
+    return F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], *more)
+
+
+def _packed(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Column:
     """One comparable struct per row: the order columns, then the remaining columns as tie breaker."""
-    rest = [c for c in df.columns if c not in keys]
-    return F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], *[F.col(c) for c in rest]), rest
+    return _struct(order, *[F.col(c) for c in df.columns if c not in keys])
+
+
+def _unpacked(df: DataFrame, keys: Sequence[str], best: DataFrame, struct: str = "_best") -> DataFrame:
+    """The winning rows as rows of ``df``."""
+    return best.select(*[F.col(c) if c in keys else F.col(f"{struct}.`{c}`").alias(c) for c in df.columns])
+
+
+def _at_top(df: DataFrame, top: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """Rows of ``df`` whose order columns equal the struct ``_top`` of their key."""
+    side = top.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+                      *[F.col(f"_top._o{i}").alias(f"_t{i}") for i in range(len(order))])
+    match = ([F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+             + [o.eqNullSafe(F.col(f"_t{i}")) for i, o in enumerate(order)])
+    return df.join(side, reduce(lambda a, b: a & b, match), "left_semi")
 
 
 def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], ties: bool = False) -> DataFrame:
@@ -29,16 +46,9 @@ def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], ti
     """
     order = [col(o) for o in order]
     if not ties:
-        packed, rest = _packed(df, keys, order)
-        best = df.groupBy(*keys).agg(F.max(packed).alias("_best"))
-        return best.select(*[F.col(c) if c in keys else F.col(f"_best.`{c}`").alias(c) for c in df.columns])
-    top = (df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
-           .agg(F.max(F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])).alias("_top")))
-    match = ([F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-             + [o.eqNullSafe(F.col(f"_t{i}")) for i, o in enumerate(order)])
-    top = top.select(*[f"_k{i}" for i in range(len(keys))],
-                     *[F.col(f"_top.o{i}").alias(f"_t{i}") for i in range(len(order))])
-    return df.join(top, reduce(lambda a, b: a & b, match), "left_semi")
+        return _unpacked(df, keys, df.groupBy(*keys).agg(F.max(_packed(df, keys, order)).alias("_best")))
+    top = df.groupBy(*keys).agg(F.max(_struct(order)).alias("_top"))
+    return _at_top(df, top, keys, order)
 
 
 def preferred(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
@@ -46,15 +56,34 @@ def preferred(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column])
     return latest(df, keys, order, ties=True)
 
 
-def resolve_ties(df: DataFrame, keys: Sequence[str], preferred: Column,
-                 order: Sequence[str | Column]) -> DataFrame:
-    """Per key: all preferred rows if there are any, else the single row with the greatest ``order``."""
-    is_preferred = F.coalesce(preferred, F.lit(False))
-    packed, _ = _packed(df, keys, [col(o) for o in order])
-    fallback = (df.groupBy(*keys).agg(F.max(is_preferred).alias("_any"), F.max(packed).alias("_best"))
-                .where(~F.col("_any"))
-                .select(*[F.col(c) if c in keys else F.col(f"_best.`{c}`").alias(c) for c in df.columns]))
-    return df.where(is_preferred).unionByName(fallback)
+def resolve_ties(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], preferred: Column,
+                 tie_order: Sequence[str | Column]) -> DataFrame:
+    """Rows with the greatest ``order`` per key, then: all preferred ones if there are any, else the single row
+    with the greatest ``tie_order``.
+
+    One grouping answers both questions: the greatest (order, preferred) tells whether a top row is preferred, the
+    greatest (order, tie order, row) is the fallback.
+    """
+    order, ties = [col(o) for o in order], [col(o) for o in tie_order]
+    liked = F.coalesce(preferred, F.lit(False))
+    best = df.groupBy(*keys).agg(F.max(_struct(order, liked.alias("liked"))).alias("_top"),
+                                 F.max(_packed(df, keys, [*order, *ties])).alias("_best"))
+    fallback = _unpacked(df, keys, best.where(~F.col("_top.liked")))
+    chosen = _at_top(df.where(liked), best.where(F.col("_top.liked")), keys, order)
+    return chosen.unionByName(fallback)
+
+
+def dedupe_preferred(df: DataFrame, keys: Sequence[str], required: Column,
+                     attrs: Sequence[str | Column]) -> DataFrame:
+    """Among keys that occur several times, the rows that carry a required attribute, best attributes first.
+
+    Equal rows all stay. One grouping counts the key and finds its best required attributes.
+    """
+    order = [col(a) for a in attrs]
+    top = (df.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])).groupBy(*keys)
+           .agg(F.count(F.lit(1)).alias("_n"), F.max(F.when(required, _struct(order))).alias("_top"))
+           .where((F.col("_n") > 1) & F.col("_top").isNotNull()))
+    return _at_top(df.where(required), top, keys, order)
 
 
 def single_responsible(df: DataFrame, key: str, indicator: str, current: Column,

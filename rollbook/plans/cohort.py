@@ -5,15 +5,16 @@ flags, spread them over their key groups, and read one ordered rule table for th
 """
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.functions import (as_date, equals, is_blank, label, like_ci, none_of, not_blank, one_of,
                                 order_date, recode, shift_days)
-from rollbook.operators import (distinct_of, enrich, latest, mark, propagate_flag, resolve_ties,
-                                single_responsible, with_literal_row)
+from rollbook.operators import (distinct_of, enrich, mark, propagate_flag, resolve_ties, single_responsible,
+                                with_literal_row)
+from rollbook.sources.tables import stage
 
 # Grades, exit codes and schools the rules name.
 HIGH_GRADES = ("09", "9", "10", "11", "12")
@@ -58,27 +59,33 @@ def most_recent_status(univ: DataFrame, degree: DataFrame) -> DataFrame:
     """
     cols = ["usi", "lea_code", "school_code", "stage5_entry_date", "stage5_exit_date", "stage5_exit_code"]
     rows = distinct_of(univ, cols)
-    top = latest(rows, ["usi"], [order_date("stage5_entry_date"), order_date("stage5_exit_date")], ties=True)
-    top = mark(top, degree, ["school_code"], "_degree")
-    kept = resolve_ties(top, ["usi"], F.col("_degree"), ["school_code"]).drop("_degree").distinct()
+    rows = mark(rows, degree, ["school_code"], "_degree")
+    kept = resolve_ties(rows, ["usi"], [order_date("stage5_entry_date"), order_date("stage5_exit_date")],
+                        F.col("_degree"), ["school_code"]).drop("_degree").distinct()
     ended = not_blank("stage5_exit_date") & not_blank("stage5_exit_code")
     return kept.withColumn("current_status", F.when(ended, INACTIVE).otherwise(ACTIVE))
 
 
 def attach_current_school(univ: DataFrame, status: DataFrame) -> DataFrame:
-    """Add the most recent school, LEA and entry date to rows that are not 'Enrolled'."""
+    """Add the most recent school, LEA and entry date to rows that are not 'Enrolled'.
+
+    Distinct rows stay distinct: an enrolled row looks up nothing, and the lookup holds no two equal rows.
+    """
     gone = none_of("enrollment_status", ["Enrolled"])
-    rows = enrich(univ, [(status, ["usi"], {"current_school_code": "school_code", "current_lea_code": "lea_code",
-                                            "current_entry_date": "stage5_entry_date"})])
-    return rows.withColumns({c: F.when(gone, F.col(c)) for c in (
-        "current_school_code", "current_lea_code", "current_entry_date")}).distinct()
+    cols = {"current_school_code": "school_code", "current_lea_code": "lea_code",
+            "current_entry_date": "stage5_entry_date"}
+    side = status.select("usi", *cols.values()).distinct()
+    key = F.when(gone, F.col("usi"))
+    return enrich(univ.withColumn("_gone", key), [(side, {"_gone": "usi"}, cols)]).drop("_gone")
 
 
-def cohort_universe(univ: DataFrame, degree: DataFrame, grade: str = "grade") -> DataFrame:
-    """Grades 9-12 and C*, or a degree-granting school (school and LEA) above grade 8. Equal rows once."""
+def cohort_universe(univ: DataFrame, degree: DataFrame, grade: str = "grade", unique: bool = False) -> DataFrame:
+    """Grades 9-12 and C*, or a degree-granting school (school and LEA) above grade 8. Equal rows once, which
+    costs nothing where the input is known to be ``unique``."""
     rows = mark(univ, degree, ["school_code", "lea_code"], "_degree")
     high = one_of(grade, HIGH_GRADES) | like_ci(grade, "C%")
-    return rows.where(high | (F.col("_degree") & none_of(grade, LOW_GRADES))).drop("_degree").distinct()
+    rows = rows.where(high | (F.col("_degree") & none_of(grade, LOW_GRADES))).drop("_degree")
+    return rows if unique else rows.distinct()
 
 
 def exit_records(exits: DataFrame, exit_status: DataFrame, workflow: DataFrame, school_year: str) -> DataFrame:
@@ -198,13 +205,13 @@ RECORD_COLUMNS = ["usi", "lea_code", "lea_name", "school_code", "school_name", "
 
 def cohort_data(records: DataFrame, degree_schools: DataFrame, leas: DataFrame, exits: DataFrame,
                 exit_status: DataFrame, workflow: DataFrame, power_leas: DataFrame, school_year: str = "2017-18",
-                power_year: str = "2017-2018", cut=lambda df: df) -> DataFrame:
-    """The cohort table. ``cut`` (such as ``sources.stage``) ends the lineage of the flagged rows, which feed two
-    groupings and their join back, and of the finished rows, which feed one more."""
+                power_year: str = "2017-2018", cut: Callable[[DataFrame], DataFrame] = stage) -> DataFrame:
+    """The cohort table. ``cut`` ends the lineage of the flagged rows, which feed two groupings and their join back,
+    and of the finished rows, which feed one more; without it each branch would run the whole chain again."""
     univ = distinct_of(records.withColumnRenamed("current_enrolled_grade", "grade"), RECORD_COLUMNS)
     degree, non_degree = degree_lists(degree_schools)
     rows = attach_current_school(univ, most_recent_status(univ, degree))
-    rows = cohort_universe(rows, degree)
+    rows = cohort_universe(rows, degree, unique=True)
     nonpublic = distinct_of(leas.where(F.col("lea_id") == NON_PUBLIC_LEA), ["school_id"])
     rows = mark(rows, nonpublic, {"school_code": "school_id"}, "_nonpublic")
     rows = rows.withColumn("school_name", F.when(F.col("_nonpublic"), NON_PUBLIC_NAME)

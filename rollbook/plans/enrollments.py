@@ -1,13 +1,13 @@
 """Enrollment universe: the certified roster, plus audit records it lacks."""
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.functions import col, equals, fold, is_blank, label, like_ci, not_blank, one_of, recode
-from rollbook.operators import (anti, conform, duplicates, merge_sources, preferred, semi, tag, update_from)
+from rollbook.operators import anti, conform, dedupe_preferred, merge_sources, tag, update_from
 
 # Roster column of each target column, audit column of each target column.
 ROSTER_COLUMNS: dict[str, str] = {
@@ -62,13 +62,6 @@ def build_enrollments(roster: DataFrame, audit: DataFrame, language: bool = True
     return merge_sources(ours, theirs).select(*ours.columns)
 
 
-def dedupe_preferred(df: DataFrame, keys: Sequence[str], required: Column,
-                     attrs: Sequence[str | Column]) -> DataFrame:
-    """Among keys that occur several times, the rows that carry a required attribute, best attributes first."""
-    repeated = semi(df, duplicates(df, keys), keys)
-    return preferred(repeated.where(required), keys, attrs)
-
-
 def language_duplicates(history_day: DataFrame) -> DataFrame:
     """Duplicate (student, LEA) rows of one roster snapshot, resolved by new-to-US, then native language."""
     cols: Mapping[str, str] = {"usi": "usi", "lea_code": "enrollment_responsible_lea_id",

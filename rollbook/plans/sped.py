@@ -6,7 +6,7 @@ meets anything else, so what is joined afterwards has one row per student and di
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -19,6 +19,7 @@ from rollbook.operators import (anti, delete_not_in, eav_lookup, enrich, join_bl
                                 override, propagate_flag, tag)
 from rollbook.operators.aggregates import from_36ths, minutes_36ths
 from rollbook.sources.history import union_years, with_snapshot
+from rollbook.sources.tables import stage
 
 # Event types, service codes and bands of the special-education feed.
 ELIGIBILITY, IEP = "1", "2"
@@ -315,11 +316,11 @@ def sped_current(enrollments: DataFrame, students: DataFrame, events: DataFrame,
                  services: DataFrame, service_types: DataFrame, schools: DataFrame, categories: DataFrame,
                  leas: DataFrame, race: DataFrame, disabilities: DataFrame, custom: DataFrame,
                  env_map: DataFrame, errors: DataFrame, as_of: dt.datetime,
-                 options: SpedOptions = CURRENT, cut=lambda df: df) -> DataFrame:
-    """The current special-education table. ``cut`` (such as ``sources.stage``) ends the lineage of the universe,
-    which feeds both the service sums and the report."""
+                 options: SpedOptions = CURRENT, cut: Callable[[DataFrame], DataFrame] = stage) -> DataFrame:
+    """The current special-education table. ``cut`` ends the lineage of the last events, which are grouped by
+    student and joined back, and of the universe, which feeds both the service sums and the report."""
     universe = sped_students(enrollments, students)
-    current = cancel_events(current_events(universe, event_summary(events, amendments)), options)
+    current = cancel_events(cut(current_events(universe, event_summary(events, amendments))), options)
     univ = cut(eligibility_status(sped_universe(universe, current, schools, categories, leas), as_of))
     minutes = service_minutes(services, service_types, univ, as_of, options.include_expired)
     univ = univ.withColumn("iep_disability", fill_blank("iep_disability", "primary_disability"))

@@ -58,14 +58,14 @@ def land(spark: SparkSession, name: str, conf: Conf, folder: str) -> DataFrame:
 
 
 def stage(df: DataFrame) -> DataFrame:
-    """Cut the lineage of a frame that feeds several branches.
+    """Cut the lineage of a frame that feeds several branches, so that it is computed once.
 
-    The checkpoint goes to the shared folder named in ``spark.checkpoint.dir``, so it outlives lost executors.
-    Without that setting the frame is returned as it is.
+    The checkpoint goes to the shared folder named in ``spark.checkpoint.dir`` and outlives lost executors. Where
+    that is not set the frame is cached instead, and Spark recomputes what a lost executor held.
     """
     folder = df.sparkSession.conf.get("spark.checkpoint.dir", "")
     if not folder:
-        return df
+        return df.persist()
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
