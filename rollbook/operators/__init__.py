@@ -3,8 +3,9 @@ from rollbook.operators.aggregates import (duplicates, max_level, multi_flag_key
                                            weekly_minutes)
 from rollbook.operators.joins import (anti, anti_null_aware, apply_negations, cancelled_by, delete_not_in,
                                       eav_lookup, enrich, join_blank_safe, mark, propagate_flag,
-                                      remove_matching, right_master, semi, update_from)
-from rollbook.operators.picks import dedupe_preferred, latest, preferred, resolve_ties, single_responsible
+                                      remove_matching, right_master, semi, single_responsible,
+                                      update_from)
+from rollbook.operators.picks import dedupe_preferred, latest, preferred, resolve_ties
 from rollbook.operators.quality import dq_duplicates, dq_mismatch, dq_missing, dq_rule
 from rollbook.operators.rows import (active_as_of, conform, distinct_of, expired_as_of, overage, override,
                                      tag)

@@ -2,6 +2,9 @@
 
 No side is broadcast by hint: Spark broadcasts a lookup when its measured size is under
 ``spark.sql.autoBroadcastJoinThreshold`` and otherwise sort-merges, where adaptive execution splits a hot key.
+It can only split a join whose two sides were both shuffled for it. A side grouped on the join keys would keep the
+partitioning of its grouping, so every join here carries one more key (see ``fresh``) that asks for a new shuffle of
+the small grouped side.
 """
 from __future__ import annotations
 
@@ -21,18 +24,26 @@ def _pairs(keys: Keys) -> list[tuple[str, str]]:
     return list(keys.items()) if isinstance(keys, Mapping) else [(k, k) for k in keys]
 
 
+def fresh(*keys: Column) -> Column:
+    """Always 0, but computed from the keys: as a join key it makes both sides shuffle for this join."""
+    return F.pmod(F.xxhash64(*keys), F.lit(1))
+
+
 def _conditions(keys: Keys, prefix: str) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(left) == F.col(f"{prefix}{i}")
-                                       for i, (left, _) in enumerate(_pairs(keys))])
+    """Equality of all keys with the right-hand ones of ``_renamed``."""
+    left = [F.col(mine) for mine, _ in _pairs(keys)]
+    return reduce(lambda a, b: a & b, [*[c == F.col(f"{prefix}{i}") for i, c in enumerate(left)],
+                                       fresh(*left) == F.col(f"{prefix}fresh")])
 
 
 def _renamed(keys: Keys, prefix: str) -> list[Column]:
     """Right-hand keys under private names, so that both sides may use the same column names."""
-    return [F.col(right).alias(f"{prefix}{i}") for i, (_, right) in enumerate(_pairs(keys))]
+    right = [F.col(theirs) for _, theirs in _pairs(keys)]
+    return [*[c.alias(f"{prefix}{i}") for i, c in enumerate(right)], fresh(*right).alias(f"{prefix}fresh")]
 
 
 def _without(df: DataFrame, keys: Keys, prefix: str) -> DataFrame:
-    return df.drop(*[f"{prefix}{i}" for i in range(len(_pairs(keys)))])
+    return df.drop(f"{prefix}fresh", *[f"{prefix}{i}" for i in range(len(_pairs(keys)))])
 
 
 def enrich(df: DataFrame, lookups: Sequence[tuple[DataFrame, Keys, Mapping[str, str | Column]]],
@@ -67,7 +78,8 @@ def remove_matching(df: DataFrame, other: DataFrame, keys: Keys) -> DataFrame:
 
 def mark(df: DataFrame, other: DataFrame, keys: Keys, out: str) -> DataFrame:
     """Add a boolean column "key occurs in other": IN (subquery) for use inside an expression."""
-    found = other.select(*_renamed(keys, "_in")).distinct().withColumn(out, F.lit(True))
+    found = other.select(*[r for _, r in _pairs(keys)]).distinct().select(*_renamed(keys, "_in"),
+                                                                          F.lit(True).alias(out))
     return (_without(df.join(found, _conditions(keys, "_in"), "left"), keys, "_in")
             .withColumn(out, F.coalesce(F.col(out), F.lit(False))))
 
@@ -101,9 +113,11 @@ def join_blank_safe(df: DataFrame, other: DataFrame, keys: Keys, take: Mapping[s
                     how: str = "left") -> DataFrame:
     """Equi-join where NULL, '' and blanks are one key value (``<=>`` would keep NULL and '' apart)."""
     pairs = _pairs(keys)
-    side = other.select(*[norm(right).alias(f"_b{i}") for i, (_, right) in enumerate(pairs)],
+    mine, theirs = [norm(left) for left, _ in pairs], [norm(right) for _, right in pairs]
+    side = other.select(*[c.alias(f"_b{i}") for i, c in enumerate(theirs)], fresh(*theirs).alias("_bfresh"),
                         *[col(source).alias(name) for name, source in take.items()])
-    on = reduce(lambda a, b: a & b, [norm(left) == F.col(f"_b{i}") for i, (left, _) in enumerate(pairs)])
+    on = reduce(lambda a, b: a & b, [*[c == F.col(f"_b{i}") for i, c in enumerate(mine)],
+                                     fresh(*mine) == F.col("_bfresh")])
     return _without(df.join(side, on, how), keys, "_b")
 
 
@@ -115,9 +129,9 @@ def eav_lookup(df: DataFrame, eav: DataFrame, name: str, keys: Keys, out: str,
 
 def update_from(df: DataFrame, src: DataFrame, keys: Keys, values: Mapping[str, str]) -> DataFrame:
     """Set {target: source} columns on matched rows. Of several matches the least value of each source wins."""
-    side = (src.groupBy(*_renamed(keys, "_upd"))
-            .agg(*[F.min(s).alias(f"_set_{t}") for t, s in values.items()])
-            .withColumn("_hit", F.lit(True)))
+    theirs = [r for _, r in _pairs(keys)]
+    side = (src.groupBy(*theirs).agg(*[F.min(s).alias(f"_set_{t}") for t, s in values.items()])
+            .select(*_renamed(keys, "_upd"), *[f"_set_{t}" for t in values], F.lit(True).alias("_hit")))
     joined = df.join(side, _conditions(keys, "_upd"), "left")
     updated = joined.withColumns({t: F.when(F.col("_hit"), F.col(f"_set_{t}"))
                                   .otherwise(F.col(t) if t in df.columns else F.lit(None)) for t in values})
@@ -170,8 +184,23 @@ def propagate_flag(df: DataFrame, keys: Sequence[str], flags: Mapping[str, Colum
             .agg(*[F.max(F.coalesce(flag, F.lit(False))).alias(f"_f_{name}") for name, flag in every.items()]))
     if over_keys:
         coarse = side.groupBy(*plain).agg(*[F.max(f"_f_{n}").alias(f"_f_{n}") for n in over_keys])
-        side = side.drop(*[f"_f_{n}" for n in over_keys]).join(coarse, plain)
-    on = reduce(lambda a, b: a & b, [e == F.col(f"_g{i}") for i, e in enumerate(exprs)])
+        side = enrich(side.drop(*[f"_f_{n}" for n in over_keys]),
+                      [(coarse, plain, {f"_f_{n}": f"_f_{n}" for n in over_keys})], how="inner")
+    side = side.withColumn("_gfresh", fresh(*[F.col(f"_g{i}") for i in range(len(exprs))]))
+    on = reduce(lambda a, b: a & b, [*[e == F.col(f"_g{i}") for i, e in enumerate(exprs)],
+                                     fresh(*exprs) == F.col("_gfresh")])
     joined = df.join(side, on, "left").withColumns(
         {name: F.coalesce(F.col(f"_f_{name}"), F.lit(False)) for name in every})
     return joined.select(*df.columns, *[n for n in every if n not in df.columns])
+
+
+def single_responsible(df: DataFrame, key: str, indicator: str, current: Column,
+                       demote: Sequence[str] | None = None) -> DataFrame:
+    """Where a key has several YES rows and a current row, set ``demote`` to 'NO' on its other rows."""
+    current = F.coalesce(current, F.lit(False))
+    split = (df.groupBy(key).agg(F.count_if(norm(indicator) == "yes").alias("yes"), F.max(current).alias("current"))
+             .where((F.col("yes") > 1) & F.col("current")))
+    joined = enrich(df, [(split, [key], {"_split": F.lit(True)})])
+    lost = F.coalesce(F.col("_split"), F.lit(False)) & ~current
+    return (joined.withColumns({c: F.when(lost, "NO").otherwise(F.col(c)) for c in demote or [indicator]})
+            .select(*df.columns))

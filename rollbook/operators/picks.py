@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.functions import col, norm
+from rollbook.functions import col
 
 
 def _struct(order: Sequence[Column], *more: Column) -> Column:
@@ -84,18 +84,3 @@ def dedupe_preferred(df: DataFrame, keys: Sequence[str], required: Column,
            .agg(F.count(F.lit(1)).alias("_n"), F.max(F.when(required, _struct(order))).alias("_top"))
            .where((F.col("_n") > 1) & F.col("_top").isNotNull()))
     return _at_top(df.where(required), top, keys, order)
-
-
-def single_responsible(df: DataFrame, key: str, indicator: str, current: Column,
-                       demote: Sequence[str] | None = None) -> DataFrame:
-    """Where a key has several YES rows and a current row, set ``demote`` to 'NO' on its other rows."""
-    current = F.coalesce(current, F.lit(False))
-    yes = norm(indicator) == "yes"
-    split = (df.groupBy(F.col(key).alias("_key"))
-             .agg(F.count_if(yes).alias("_yes"), F.max(current).alias("_current"))
-             .where((F.col("_yes") > 1) & F.col("_current"))
-             .select("_key", F.lit(True).alias("_split")))
-    lost = F.coalesce(F.col("_split"), F.lit(False)) & ~current
-    joined = df.join(split, F.col(key) == F.col("_key"), "left")
-    return (joined.withColumns({c: F.when(lost, "NO").otherwise(F.col(c)) for c in demote or [indicator]})
-            .select(*df.columns))

@@ -69,14 +69,14 @@ def most_recent_status(univ: DataFrame, degree: DataFrame) -> DataFrame:
 def attach_current_school(univ: DataFrame, status: DataFrame) -> DataFrame:
     """Add the most recent school, LEA and entry date to rows that are not 'Enrolled'.
 
-    Distinct rows stay distinct: an enrolled row looks up nothing, and the lookup holds no two equal rows.
+    Distinct rows stay distinct: an enrolled row looks up nothing, and the lookup holds no two equal rows. The
+    test is a join condition and not a nulled key, which would send all enrolled rows to one partition.
     """
     gone = none_of("enrollment_status", ["Enrolled"])
     cols = {"current_school_code": "school_code", "current_lea_code": "lea_code",
             "current_entry_date": "stage5_entry_date"}
-    side = status.select("usi", *cols.values()).distinct()
-    key = F.when(gone, F.col("usi"))
-    return enrich(univ.withColumn("_gone", key), [(side, {"_gone": "usi"}, cols)]).drop("_gone")
+    side = status.select(F.col("usi").alias("_usi"), *[F.col(c).alias(n) for n, c in cols.items()]).distinct()
+    return univ.join(side, (F.col("usi") == F.col("_usi")) & gone, "left").drop("_usi")
 
 
 def cohort_universe(univ: DataFrame, degree: DataFrame, grade: str = "grade", unique: bool = False) -> DataFrame:

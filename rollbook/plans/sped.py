@@ -201,7 +201,7 @@ def service_minutes(services: DataFrame, types: DataFrame, iep: DataFrame, as_of
     if not include_expired:
         log = log.where(active)
     in_class = in_class & F.col("types").isNotNull()
-    log = log.join(counted, "serviceid", "left").where(in_class | aide)
+    log = enrich(log, [(counted, ["serviceid"], {"types": "types"})]).where(in_class | aide)
     minutes = minutes_36ths()
     parts = {"outside": F.when(in_class & (place == "outside"), minutes * F.col("types").cast("decimal(6,0)")),
              "inside": F.when(in_class & (place == "inside"), minutes * F.col("types").cast("decimal(6,0)")),
