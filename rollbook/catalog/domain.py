@@ -649,7 +649,7 @@ def _only(flag: str, value: str, otherwise: str = "''") -> str:
 @query("D27,J3,P7,P10,F12,T12,S7", with_feeds([*_PIVOT_FEEDS, "master"], f""",
     sheet AS ({_pivot_sql("8003", pr.PARENT_LABELS)}),
     short AS (SELECT district, building, {", ".join(f'"{long}" AS {name}' for name, long in _SHEET_NAMES.items())} FROM sheet),
-    prof AS (SELECT DISTINCT CASE osse_school_code WHEN '141' THEN '9000' ELSE osse_school_code END AS school, p.*, m.*,
+    prof AS (SELECT DISTINCT CASE m.school_code WHEN '141' THEN '9000' ELSE m.school_code END AS school, p.*, m.* EXCLUDE (school_code),
                {_only("charter", "rep")} AS c_rep, {_only("charter", "first")} AS c_first,
                {_only("charter", "last")} AS c_last, {_only("charter", "phone")} AS c_phone,
                {_only("dcps", "team")} AS d_team, {_only("dcps", "team_link")} AS d_link,
@@ -657,7 +657,7 @@ def _only(flag: str, value: str, otherwise: str = "''") -> str:
                {_only("dcps", "email")} AS d_email, {_only("dcps", "phone")} AS d_phone,
                CASE WHEN upper(trim(after_care_available)) = 'X' THEN 'Y' ELSE 'N' END AS care
              FROM master m LEFT JOIN short p
-               ON p.building = CASE osse_school_code WHEN '141' THEN '9000' ELSE osse_school_code END)
+               ON p.building = CASE m.school_code WHEN '141' THEN '9000' ELSE m.school_code END)
     SELECT DISTINCT school AS school_code, district AS lea_code, {_only("social", "'Y'", "'N'")} AS social_media,
            {_only("social", "substr(twitter, 1, 500)")} AS twitter_link,
            {_only("social", "substr(facebook, 1, 500)")} AS facebook_link, {_only("org", "'Y'", "'N'")} AS parent_org,

@@ -235,7 +235,7 @@ FEEDS: dict[str, str] = {
                {_label('n_nationkey', labels)} AS field_label FROM {{nation}} WHERE n_nationkey <> 22"""
         for district in (0, 1, 2) for screen, labels in (("8003", PARENT_LABELS), ("8004", ENVIRONMENT_LABELS))),
     "master": """
-        SELECT CAST(c_custkey AS STRING) AS osse_school_code, c_name AS school_hours, c_mktsegment AS point_of_pride_1,
+        SELECT CAST(c_custkey AS STRING) AS school_code, c_name AS school_hours, c_mktsegment AS point_of_pride_1,
                '' AS point_of_pride_2, CAST(NULL AS STRING) AS point_of_pride_3,
                CASE c_custkey % 3 WHEN 0 THEN 'x' WHEN 1 THEN '' ELSE NULL END AS after_care_available,
                '7-' || CAST(c_custkey % 12 AS STRING) AS before_after_hours,

@@ -16,7 +16,7 @@ from rollbook.operators import (distinct_of, enrich, mark, propagate_flag, resol
                                 with_literal_row)
 from rollbook.sources.tables import stage
 
-# Grades, exit codes and schools the rules name.
+# Grades, exit codes, schools and status texts the rules name.
 HIGH_GRADES = ("09", "9", "10", "11", "12")
 LOW_GRADES = ("P3", "PK3", "PK4", "KG", "P4", "01", "1", "02", "2", "03", "3", "04", "4", "05", "5", "06", "6",
               "07", "7", "08", "8")
@@ -26,9 +26,10 @@ STATE_SCHOOLS = ("860", "861", "480", "948", "958", "7000", "8100")
 STATE_LEAS = ("4002",)
 NON_PUBLIC_LEA, NON_PUBLIC_NAME = "5000", "Non-Public School"
 ENROLLED_AT_NON_DEGREE, ENROLLED_AT_STATE = ("947",), ("861", "480")
+EXIT_ACCEPTED, EXIT_REFUSED, EXIT_PENDING = "%OSSE Accepted%", "OSSE NOt Accepted Exits", "%pending%"
 ACTIVE, INACTIVE = "Currently Active", "Currently Completely Inactive"
 
-# Detail texts, strongest last, with the indicator each one implies (None: depends on the school).
+# Detail texts, strongest last, with the indicator each one implies (None: depends on the school).
 DETAILS: list[tuple[str, str, str | None]] = [
     ("idea", "Responsible for IDEA Services", "YES"),
     ("incomplete_exit", "Recently Enrolled, Incomplete Exit", "YES"),
@@ -127,9 +128,9 @@ def exit_indicators(df: DataFrame, status: str = "enrollment_status_final", exit
     df = df.withColumn("enrollment_indicator", indicator)
     exited = equals("enrollment_indicator", "Exited")
     return df.withColumn("exit_indicator", label([
-        (exited & like_ci(display, "%OSSE Accepted%"), "Complete"),
+        (exited & like_ci(display, EXIT_ACCEPTED), "Complete"),
         (exited & is_blank(exit_code), "Incomplete"),
-        (exited & (like_ci(display, "%pending%") | equals(display, "OSSE NOt Accepted Exits")), "Incomplete"),
+        (exited & (like_ci(display, EXIT_PENDING) | equals(display, EXIT_REFUSED)), "Incomplete"),
         (exited, "Complete"),
         (equals("enrollment_indicator", "Enrolled"), "NA")], ""))
 

@@ -26,6 +26,7 @@ AUDIT_COLUMNS: dict[str, str] = {
     "school_name": "school_name", "entry_date": "enrollment_date", "entry_code": "enrollment_code",
     "exit_date": "exit_date", "exit_code": "exit_code"}
 LANGUAGE_COLUMNS = ("lep_indicator", "new_to_us", "native_language_code")
+# Categories of the two sources.
 ROSTER_CATEGORY, AUDIT_CATEGORY = "RosterUncertifiedMaster", "AuditnotRoster"
 
 

@@ -54,8 +54,8 @@ def _field(name: str) -> Column:
 
 def school_profiles(parent: DataFrame, master: DataFrame) -> DataFrame:
     """Every school of the master list with its parent-engagement fields, contacts split by school kind."""
-    master = master.withColumn("osse_school_code", recode("osse_school_code", {"141": "9000"}))
-    rows = right_master(parent, master, {"osse_school_code": "building"},
+    master = master.withColumn("school_code", recode("school_code", {"141": "9000"}))
+    rows = right_master(parent, master, {"school_code": "building"},
                         {"lea_code": "district", **{name: _field(name) for name in PARENT_LABELS}})
     charter, dcps = is_yes(_field("FOR CHARTER SCHOOLS ONLY")), is_yes(_field("FOR DCPS SCHOOLS ONLY"))
     plain = {"social_media": "School Social Media Presence?", "twitter_link": "Twitter Link",
@@ -72,7 +72,7 @@ def school_profiles(parent: DataFrame, master: DataFrame) -> DataFrame:
     def mentions(word: str) -> Column:
         return F.when(F.coalesce(like_ci("care_scale_or_voucher", f"%{word}%"), F.lit(False)), "Y").otherwise("N")
     return rows.select(
-        F.col("osse_school_code").alias("school_code"), "lea_code",
+        "school_code", "lea_code",
         *[_field(source).alias(n) for n, source in plain.items()],
         *[when_flag(charter, _field(source)).alias(f"charter_{n}") for n, source in for_charter.items()],
         *[when_flag(dcps, _field(source)).alias(f"dcps_{n}") for n, source in for_dcps.items()],

@@ -52,7 +52,7 @@ def refresh_enrollments(job: Job, language: bool = True) -> DataFrame:
     return job.write(rows, "enrollments")
 
 
-def refresh_currentsped(job: Job, as_of: dt.datetime, options: SpedOptions = CURRENT) -> DataFrame:
+def refresh_special_education(job: Job, as_of: dt.datetime, options: SpedOptions = CURRENT) -> DataFrame:
     """Refresh the current special-education table, then the validation sheet, which is returned."""
     enrollments = job.read_target("enrollments")
     names = ["sped_students", "sped_events", "iep_amendments", "service_history", "service_types", "sped_schools",
@@ -67,8 +67,8 @@ def refresh_currentsped(job: Job, as_of: dt.datetime, options: SpedOptions = CUR
     return job.write(sheet, "swd_sheet")
 
 
-def refresh_cohort_responsible_lea_school(job: Job, school_year: str = "2017-18",
-                                          power_year: str = "2017-2018") -> DataFrame:
+def refresh_cohort(job: Job, school_year: str = "2017-18",
+                   power_year: str = "2017-2018") -> DataFrame:
     """Refresh the cohort table and its reporting copy, which is returned."""
     names = ["student_records", "degree_schools", "lea_directory", "exit_enrollments", "exit_status",
              "workflow_status", "shift_leas"]

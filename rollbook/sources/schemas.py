@@ -51,7 +51,7 @@ SOURCES: dict[str, str] = {
     "building_fields": """district string, building string, screen_number string, field_number string,
         field_value string""",
     "field_dictionary": "district string, screen_number string, field_number string, field_label string",
-    "profile_master": """osse_school_code string, school_hours string, point_of_pride_1 string,
+    "profile_master": """school_code string, school_hours string, point_of_pride_1 string,
         point_of_pride_2 string, point_of_pride_3 string, after_care_available string, before_after_hours string,
         care_is_free string, care_scale_or_voucher string, metro_bus string, metro_rail string,
         grades_served string, additional_enrichments string""",
@@ -83,7 +83,7 @@ CODES: dict[str, list[str]] = {
     "indicators": ["usi"],
     "building_fields": ["district", "building", "screen_number", "field_number"],
     "field_dictionary": ["district", "screen_number", "field_number"],
-    "profile_master": ["osse_school_code"],
+    "profile_master": ["school_code"],
 }
 
 TARGETS: dict[str, str] = {

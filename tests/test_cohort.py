@@ -47,6 +47,17 @@ def test_most_recent_status_cascade(named, lists):
         ("C", "800", "Currently Active"), ("D", "700", "Currently Active")]
 
 
+def test_blank_text_dates_sort_above_null(frame, lists):
+    """As text, a blank exit date counts as 1900-01-01 in the order: below real dates, above NULL."""
+    ddl = ("usi string, lea_code string, school_code string, stage5_entry_date string, stage5_exit_date string, "
+           "stage5_exit_code string")
+    df = frame(ddl, [("A", "1", "700", "9/1/2017", None, "1"), ("A", "1", "600", "2017-09-01", " ", "1"),
+                     ("B", "1", "700", "9/1/2017", "", "1"), ("B", "1", "600", "9/1/2017", "1/5/2018", "1")])
+    degree, _ = co.degree_lists(lists["degree_schools"])
+    assert values(co.most_recent_status(df, degree), "usi", "school_code", "current_status") == [
+        ("A", "600", "Currently Active"), ("B", "600", "Currently Completely Inactive")]
+
+
 def test_current_school_only_for_rows_not_enrolled(named, frame):
     rows = named("usi string, enrollment_status string", dict(usi="A", enrollment_status="enrolled "),
                  dict(usi="A", enrollment_status="Withdrawn"), dict(usi="A", enrollment_status=""), dict(usi="A"))

@@ -95,9 +95,9 @@ def test_profiles(named):
     assert len(sheets[pr.ENVIRONMENT_SCREEN].columns) == 23
     assert {r.feed_type for r in pr.labelled_fields(values_, dictionary).collect()} == {
         "Parent engagement", "School environment"}
-    master = named(SOURCES["profile_master"], dict(osse_school_code="10", after_care_available="x", care_is_free="p",
+    master = named(SOURCES["profile_master"], dict(school_code="10", after_care_available="x", care_is_free="p",
                                                    care_scale_or_voucher="Sliding scale"),
-                   dict(osse_school_code="30", care_is_free="p"), dict(osse_school_code="141"))
+                   dict(school_code="30", care_is_free="p"), dict(school_code="141"))
     profiles = pr.school_profiles(parent, master)
     assert {r.school_code for r in profiles.collect()} == {"10", "30", "9000"}
     got = {r.school_code: r for r in pr.school_environment(profiles).collect()}
@@ -159,7 +159,7 @@ def test_refresh_jobs(spark, named, tmp_path):
                                 enrollment_status="Enrolled", enrollment_stage="Stage 5", logdate=dt.datetime(2017, 9, 1))],
         "date_table": [dict(date=D(2017, 9, 30))],
         "building_fields": [dict(district="1", building="10", screen_number="8003", field_number="1", field_value="x")],
-        "profile_master": [dict(osse_school_code="10")],
+        "profile_master": [dict(school_code="10")],
     }
     conf = {}
     for name, ddl in SOURCES.items():
@@ -173,9 +173,9 @@ def test_refresh_jobs(spark, named, tmp_path):
     now = dt.datetime(2018, 3, 4, 12)
     for _ in range(2):
         assert rf.refresh_enrollments(job).count() == 2
-        assert values(rf.refresh_currentsped(job, now), "studentcode", "current_swd_level", "highest_swd_level") == [
+        assert values(rf.refresh_special_education(job, now), "studentcode", "current_swd_level", "highest_swd_level") == [
             ("1", "Level 1", "Level 3")]
-        assert values(rf.refresh_cohort_responsible_lea_school(job), "usi", "lea_detail", "lea_indicator") == [
+        assert values(rf.refresh_cohort(job), "usi", "lea_detail", "lea_indicator") == [
             ("1", "Currently Enrolled", "YES")]
     overall, degree = rf.recent_enrollments(job)
     assert (overall.count(), degree.count()) == (1, 1)
