@@ -18,9 +18,11 @@ def _struct(order: Sequence[Column], *more: Column) -> Column:
     return F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], *more)
 
 
-def _packed(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Column:
+def _packed(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> Column:
     """One comparable struct per row: the order columns, then the remaining columns as tie breaker."""
-    return _struct(order, *[F.col(c) for c in df.columns if c not in keys])
+    first = [o if isinstance(o, str) else o.alias(f"_o{i}") for i, o in enumerate(order)]
+    named = {o for o in order if isinstance(o, str)}
+    return F.struct(*first, *[F.col(c) for c in df.columns if c not in keys and c not in named])
 
 
 def _unpacked(df: DataFrame, keys: Sequence[str], best: DataFrame, struct: str = "_best") -> DataFrame:
@@ -44,9 +46,9 @@ def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], ti
     order. With ``ties`` every row equal to the greatest stays: the maximum per key is joined back on key and
     order value, which spreads a hot key over its order values.
     """
-    order = [col(o) for o in order]
     if not ties:
         return _unpacked(df, keys, df.groupBy(*keys).agg(F.max(_packed(df, keys, order)).alias("_best")))
+    order = [col(o) for o in order]
     top = df.groupBy(*keys).agg(F.max(_struct(order)).alias("_top"))
     return _at_top(df, top, keys, order)
 
@@ -64,10 +66,10 @@ def resolve_ties(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colum
     One grouping answers both questions: the greatest (order, preferred) tells whether a top row is preferred, the
     greatest (order, tie order, row) is the fallback.
     """
-    order, ties = [col(o) for o in order], [col(o) for o in tie_order]
-    liked = F.coalesce(preferred, F.lit(False))
+    packed = _packed(df, keys, [*order, *tie_order])
+    order, liked = [col(o) for o in order], F.coalesce(preferred, F.lit(False))
     best = df.groupBy(*keys).agg(F.max(_struct(order, liked.alias("liked"))).alias("_top"),
-                                 F.max(_packed(df, keys, [*order, *ties])).alias("_best"))
+                                 F.max(packed).alias("_best"))
     fallback = _unpacked(df, keys, best.where(~F.col("_top.liked")))
     chosen = _at_top(df.where(liked), best.where(F.col("_top.liked")), keys, order)
     return chosen.unionByName(fallback)

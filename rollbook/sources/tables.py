@@ -75,8 +75,8 @@ def stage(df: DataFrame) -> DataFrame:
 def refresh(df: DataFrame, target: str, schema: str | StructType | None = None, *, table: bool = False) -> None:
     """Replace a target in full, columns by name and cast to ``schema``.
 
-    ``target`` is a path, or a catalog table with ``table=True``. Spark refuses to overwrite a path that the same
-    query reads.
+    ``target`` is a path, or a catalog table with ``table=True``. The query must not read the target it replaces:
+    overwriting removes the old files first. Stage such a frame before.
     """
     if schema is not None:
         fields = (StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields

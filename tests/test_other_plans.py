@@ -5,7 +5,8 @@ from rollbook.plans import enrollments as en
 from rollbook.plans import profiles as pr
 from rollbook.plans import refresh as rf
 from rollbook.plans import risk as rk
-from rollbook.sources import SOURCES, since, snapshot, stage, tidy, union_years, with_headers
+from rollbook.sources import (SOURCES, load, refresh, since, snapshot, stage, tidy, union_years,
+                              with_headers)
 
 D = dt.date
 
@@ -137,6 +138,21 @@ def test_headers(frame):
     assert with_headers(frame("a int, b int", [(1, 2)]), {"a": "A Name"}).columns == ["A Name", "b"]
 
 
+def test_refresh_of_a_table_and_a_path(spark, frame, tmp_path):
+    path = str(tmp_path / "t")
+    for rows in ([(1, "a"), (2, "b")], [(3, "c")]):
+        refresh(frame("n int, s string", rows), path, "s string, n bigint")
+    assert spark.read.parquet(path).dtypes == [("s", "string"), ("n", "bigint")]
+    assert values(spark.read.parquet(path), "s") == [("c",)]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS refreshed LOCATION '{tmp_path}/db'")
+    for rows in ([(1, "a"), (2, "b")], [(3, "c")]):
+        refresh(frame("n int, s string", rows), "refreshed.target", table=True)
+    assert values(load(spark, "x", {"x": {"table": "refreshed.target"}}), "n") == [(3,)]
+    csv = str(tmp_path / "csv")
+    frame("n int", [(7,)]).write.option("header", True).csv(csv)
+    assert values(load(spark, "x", {"x": {"path": csv, "format": "csv", "options": {"header": True}}}), "n") == [("7",)]
+
+
 def test_refresh_jobs(spark, named, tmp_path):
     """Every job from source folders to targets, run twice: a refresh replaces its target."""
     rows = {
