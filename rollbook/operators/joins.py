@@ -128,13 +128,17 @@ def eav_lookup(df: DataFrame, eav: DataFrame, name: str, keys: Keys, out: str,
 
 
 def update_from(df: DataFrame, src: DataFrame, keys: Keys, values: Mapping[str, str]) -> DataFrame:
-    """Set {target: source} columns on matched rows. Of several matches the least value of each source wins."""
+    """Set {target: source} columns on matched rows. Of several matches the row with the least source values wins,
+    compared in the given order, NULL last."""
     theirs = [r for _, r in _pairs(keys)]
-    side = (src.groupBy(*theirs).agg(*[F.min(s).alias(f"_set_{t}") for t, s in values.items()])
-            .select(*_renamed(keys, "_upd"), *[f"_set_{t}" for t in values], F.lit(True).alias("_hit")))
+    row = F.struct(*[F.struct(F.col(s).isNull().alias("gone"), F.col(s).alias("value")).alias(f"c{i}")
+                     for i, s in enumerate(values.values())])
+    side = (src.groupBy(*theirs).agg(F.min(row).alias("_row"))
+            .select(*_renamed(keys, "_upd"), "_row"))
     joined = df.join(side, _conditions(keys, "_upd"), "left")
-    updated = joined.withColumns({t: F.when(F.col("_hit"), F.col(f"_set_{t}"))
-                                  .otherwise(F.col(t) if t in df.columns else F.lit(None)) for t in values})
+    updated = joined.withColumns({
+        t: F.when(F.col("_row").isNotNull(), F.col(f"_row.c{i}.value")).otherwise(F.col(t) if t in df.columns else F.lit(None))
+        for i, t in enumerate(values)})
     return updated.select(*df.columns, *[t for t in values if t not in df.columns])
 
 

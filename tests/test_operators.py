@@ -94,6 +94,13 @@ def test_update_from_may_set_null(frame):
     assert values(op.update_from(df, frame("k string, w string", [("a", None)]), ["k"], {"v": "w"}), "v") == [(None,)]
 
 
+def test_update_from_never_mixes_source_rows(frame):
+    df = frame("k string", [("a",), ("b",), ("c",)])
+    src = frame("k string, v string, w string", [("a", "2", "x"), ("a", "1", "y"), ("b", None, "x"), ("b", "5", None)])
+    assert values(op.update_from(df, src, ["k"], {"v": "v", "w": "w"}), "k", "v", "w") == [
+        ("a", "1", "y"), ("b", "5", None), ("c", None, None)]
+
+
 def test_blank_safe_join_treats_null_as_blank(frame):
     left = frame("a string, b string, v int", [("x", None, 1), ("X ", "", 2), ("x", "q", 3)])
     right = frame("a string, b string, w string", [("x", " ", "hit")])

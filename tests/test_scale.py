@@ -38,7 +38,8 @@ def final_plan(df):
     lambda df: op.mark(df, df.where("v % 5 = 0"), ["k"], "f"),
     lambda df: op.cancelled_by(df, df.where("v % 5 = 0").withColumnRenamed("v", "w"), ["k"], [("v", "w")]),
     lambda df: op.semi(df, op.duplicates(df, ["k"]), ["k"]),
-], ids=["propagate_flag", "single_responsible", "enrich", "update_from", "mark", "cancelled_by", "semi"])
+    lambda df: op.latest(df.withColumn("same", F.col("k") * 0), ["k"], ["same"], ties=True),
+], ids=["propagate_flag", "single_responsible", "enrich", "update_from", "mark", "cancelled_by", "semi", "latest_ties"])
 def test_hot_key_is_split_when_joined_back(hot, make):
     plan = final_plan(make(hot))
     assert "skew=true" in plan and "Window" not in plan
