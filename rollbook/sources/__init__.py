@@ -2,7 +2,7 @@
 from rollbook.sources.headers import HEADERS, with_headers
 from rollbook.sources.history import since, snapshot, union_years, with_snapshot
 from rollbook.sources.schemas import CODES, SOURCES, TARGETS
-from rollbook.sources.tables import land, load, refresh, stage, tidy
+from rollbook.sources.tables import land, load, refresh, release, shared_folder, stage, tidy
 
-__all__ = ["CODES", "HEADERS", "SOURCES", "TARGETS", "land", "load", "refresh", "since", "snapshot", "stage", "tidy",
+__all__ = ["CODES", "HEADERS", "SOURCES", "TARGETS", "land", "load", "refresh", "release", "shared_folder", "since", "snapshot", "stage", "tidy",
            "union_years", "with_headers", "with_snapshot"]

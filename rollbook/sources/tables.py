@@ -1,6 +1,8 @@
 """Loading, landing, staging and refreshing whole tables."""
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,19 +59,41 @@ def land(spark: SparkSession, name: str, conf: Conf, folder: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Cut the lineage of a frame that feeds several branches, so that it is computed once.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share, as ``spark.checkpoint.dir`` names it. Only where the session names none, as in
+    tests on one machine, a new temporary folder is made and set."""
+    folder = spark.conf.get("spark.checkpoint.dir", "")
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="rollbook-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
+
 
-    The checkpoint goes to the shared folder named in ``spark.checkpoint.dir`` and outlives lost executors. Where
-    that is not set the frame is cached instead, and Spark recomputes what a lost executor held.
+def stage(df: DataFrame, partition_by: str | None = None) -> DataFrame:
+    """Write a frame that feeds several branches to the shared folder and read it back: computed once, lineage cut.
+
+    Parquet keeps columns and footer statistics, so each branch reads the columns it needs. The files outlive lost
+    executors; they are deleted when the driver ends, or earlier by ``release``.
     """
-    folder = df.sparkSession.conf.get("spark.checkpoint.dir", "")
-    if not folder:
-        return df.persist()
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
+    writer = df.write.option("compression", "zstd")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    frame = spark.read.schema(df.schema).parquet(path)
+    frame._staged = path
+    return frame
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete the files of staged frames that are read no more."""
+    for frame in frames:
+        spark = frame.sparkSession
+        place = spark._jvm.org.apache.hadoop.fs.Path(frame._staged)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def refresh(df: DataFrame, target: str, schema: str | StructType | None = None, *, table: bool = False) -> None:
