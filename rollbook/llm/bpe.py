@@ -44,6 +44,7 @@ class Transducer:
         self.token_bytes = {i: t for t, i in ranks.items()}
         self.starts = {t[:n] for t in ranks for n in range(1, len(t) + 1)}  # every prefix of a token
         self.pairs: dict[tuple[int, int], bool] = {}
+        self.grown: dict[int, tuple[list, list, bool]] = {}
         self.clear()
 
     def clear(self) -> None:
@@ -63,18 +64,60 @@ class Transducer:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return [self.ranks[p] for p in parts]
 
+    def sides(self, token: int) -> tuple[list, list, bool]:
+        """How the first and the last part of a token grow while its bytes are merged: (rank, part) from the single
+        byte on; and whether the merges give the token, in order of rank."""
+        if token not in self.grown:
+            raw = self.token_bytes[token]
+            parts = [raw[i:i + 1] for i in range(len(raw))]
+            first, last, rank, ordered = [(-1, parts[0])], [(-1, parts[-1])], -1, True
+            while len(parts) > 1:
+                before = rank
+                rank, at = min((self.ranks.get(parts[i] + parts[i + 1], 1 << 60), i) for i in range(len(parts) - 1))
+                if rank == 1 << 60:
+                    break
+                ordered &= before <= rank
+                parts[at:at + 2] = [parts[at] + parts[at + 1]]
+                if at == 0:
+                    first.append((rank, parts[0]))
+                if at == len(parts) - 1:
+                    last.append((rank, parts[-1]))
+            self.grown[token] = (first, last, ordered and len(parts) == 1)
+        return self.grown[token]
+
     def fits(self, left: int, right: int) -> bool:
-        """Whether merging the joined bytes of two tokens gives the two (a lone token: itself)."""
+        """Whether merging the joined bytes of two tokens gives the two (a lone token: itself).
+
+        Merges run in order of rank, so while the two grow apart, their touching parts are known at each rank; the pair
+        stays apart if no touching parts form a token that would be merged before either part grows.
+        """
         key = (left, right)
-        if key not in self.pairs:
+        known = self.pairs.get(key)
+        if known is None:
             if len(self.pairs) > MAX_EDGES:
                 self.pairs.clear()
-            if left < 0:
-                self.pairs[key] = self.merge(self.token_bytes[right]) == [right]
+            known = self.pairs[key] = self._apart(left, right)
+        return known
+
+    def _apart(self, left: int, right: int) -> bool:
+        if left < 0:
+            return self.merge(self.token_bytes[right]) == [right]
+        (_, ends, plain), (begins, _, plain_right) = self.sides(left), self.sides(right)
+        if not (plain and plain_right):
+            return self.merge(self.token_bytes[left] + self.token_bytes[right]) == [left, right]
+        i = j = 0
+        while True:
+            across = self.ranks.get(ends[i][1] + begins[j][1])
+            left_grows = ends[i + 1][0] if i + 1 < len(ends) else 1 << 60
+            right_grows = begins[j + 1][0] if j + 1 < len(begins) else 1 << 60
+            if across is not None and across < left_grows and across <= right_grows:  # of equal ranks the left is first
+                return False
+            if left_grows == right_grows == 1 << 60:
+                return True
+            if left_grows <= right_grows:
+                i += 1
             else:
-                joined = self.token_bytes[left] + self.token_bytes[right]
-                self.pairs[key] = joined not in self.ranks and self.merge(joined) == [left, right]
-        return self.pairs[key]
+                j += 1
 
     def _way_back(self, end: int, lasts: tuple[int, ...]) -> list[int]:
         """Tokens from the start of the pending bytes to position ``end``."""
@@ -98,7 +141,8 @@ class Transducer:
         lasts = (*known, last)
         if last >= 0:
             live.append(len(pending))  # a token may begin with the next byte
-        ways = [self._way_back(p, lasts) for p in live]
+        # nothing is settled while a token may begin where the pending bytes do
+        ways = [self._way_back(p, lasts) for p in live] if live[0] else [[]]
         shared = ways[0]
         for way in ways[1:]:
             k = 0

@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import bpe, language_id, line_dedup
+from rollbook.llm import bpe, language_id, line_dedup, minhash
 from rollbook.llm.common import documents
 
 TOKENIZER = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -56,3 +56,23 @@ FROM m GROUP BY doc_id"""
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+SHINGLE_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) >= 2 THEN list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])
+                                 ELSE w END)) AS g FROM w),
+n AS (SELECT w.doc_id, count(s.g) AS n FROM w LEFT JOIN s ON w.doc_id = s.doc_id GROUP BY w.doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+d AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r AS (SELECT doc_id AS u, doc_id AS v FROM documents UNION SELECT r.u, d.b FROM r JOIN d ON r.v = d.a)
+SELECT n.doc_id, n.n AS n_shingles, min(r.v) AS component_id, n.doc_id = min(r.v) AS kept
+FROM n JOIN r ON r.u = n.doc_id GROUP BY n.doc_id, n.n"""
+
+
+@query(SHINGLE_SQL)
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return minhash.near_duplicates(docs, size=2).select("doc_id", "n_shingles", "component_id", "kept")
