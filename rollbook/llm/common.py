@@ -4,14 +4,19 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Rows of one Arrow batch. Texts may be long, so few at a time.
 BATCH_ROWS = 256
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    return table(spark, sf_dir, "documents")
 
 
 def arrow_map(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
@@ -29,3 +34,13 @@ def without(df: DataFrame, *names: str) -> DataFrame:
 
 def batch_of(**columns: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once: a lambda's argument is never inlined by the optimizer."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def blank_split(text: Column) -> Column:
+    """Words of a text, apart at ASCII blanks; NULL has none."""
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), "")

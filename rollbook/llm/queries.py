@@ -7,8 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import bpe, language_id, line_dedup, minhash
-from rollbook.llm.common import documents
+from rollbook.llm import bpe, decontaminate, language_id, line_dedup, minhash
+from rollbook.llm.common import documents, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -76,3 +76,29 @@ FROM n JOIN r ON r.u = n.doc_id GROUP BY n.doc_id, n.n"""
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return minhash.near_duplicates(docs, size=2).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+LEAK_SQL = r"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+b AS (SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM benchmark),
+p AS (SELECT doc_id, len(w) AS n, unnest(range(1, len(w) - 3)) AS p, w FROM d),
+s AS (SELECT doc_id, n, p, array_to_string(w[p:p + 4], ' ') AS g FROM p),
+q AS (SELECT item_id, len(w) AS m, unnest(range(1, len(w) - 3)) AS p, w FROM b),
+t AS (SELECT item_id, m, p, array_to_string(w[p:p + 4], ' ') AS g FROM q),
+c AS (SELECT DISTINCT doc_id, item_id, m, greatest(0, least(s.p - t.p, n - m)) AS start FROM s JOIN t ON s.g = t.g),
+x AS (SELECT c.doc_id, c.item_id, c.m, c.start, s.g, count(*) * length(s.g) AS a
+      FROM c JOIN s ON s.doc_id = c.doc_id AND s.p > c.start AND s.p <= c.start + c.m - 4 GROUP BY c.doc_id, c.item_id, c.m, c.start, s.g),
+y AS (SELECT item_id, g, count(*) * length(g) AS a FROM t GROUP BY item_id, g),
+z AS (SELECT item_id, sum(a) AS total FROM y GROUP BY item_id),
+l AS (SELECT x.doc_id, x.item_id, x.m, x.start, sum(x.a) AS total, sum(least(x.a, coalesce(y.a, 0))) AS lesser
+      FROM x LEFT JOIN y ON x.item_id = y.item_id AND x.g = y.g GROUP BY x.doc_id, x.item_id, x.m, x.start),
+f AS (SELECT l.doc_id, l.item_id, l.m, l.start, CAST(l.lesser AS DOUBLE) / CAST(l.total + z.total - l.lesser AS DOUBLE) AS similarity
+      FROM l JOIN z ON l.item_id = z.item_id WHERE 100 * l.lesser >= 80 * (l.total + z.total - l.lesser)),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) AS nth FROM f)
+SELECT doc_id, item_id, similarity, CAST(start AS INTEGER) AS start_word, CAST(m AS INTEGER) AS n_words FROM r WHERE nth = 1"""
+
+
+@query(LEAK_SQL)
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return decontaminate.contaminations(docs, table(spark, sf_dir, "benchmark")).drop("key")
