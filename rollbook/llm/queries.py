@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import bpe, decontaminate, language_id, line_dedup, minhash
+from rollbook.llm import bpe, decontaminate, language_id, line_dedup, minhash, substring_dedup
 from rollbook.llm.common import documents, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -102,3 +102,23 @@ SELECT doc_id, item_id, similarity, CAST(start AS INTEGER) AS start_word, CAST(m
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return decontaminate.contaminations(docs, table(spark, sf_dir, "benchmark")).drop("key")
+
+
+REPEAT_SQL = r"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+p AS (SELECT doc_id, unnest(range(1, len(w) - 11)) AS p, w FROM d WHERE len(w) >= 13),
+s AS (SELECT doc_id, p, md5(array_to_string(w[p:p + 12], ' ')) AS g FROM p),
+f AS (SELECT g, min(doc_id) AS first FROM s GROUP BY g HAVING min(doc_id) < max(doc_id)),
+c AS (SELECT DISTINCT s.doc_id, unnest(range(s.p, s.p + 13)) AS at_word FROM s JOIN f ON s.g = f.g WHERE s.doc_id > f.first),
+w AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS at_word, unnest(w) AS word FROM d),
+k AS (SELECT w.doc_id, w.at_word, w.word, c.doc_id IS NOT NULL AS gone FROM w LEFT JOIN c ON w.doc_id = c.doc_id AND w.at_word = c.at_word),
+a AS (SELECT doc_id, count(*) AS n, sum(CASE WHEN gone THEN 1 ELSE 0 END) AS r,
+             coalesce(string_agg(word, ' ' ORDER BY at_word) FILTER (WHERE NOT gone), '') AS t FROM k GROUP BY doc_id)
+SELECT d.doc_id, coalesce(a.n, 0) AS n_words, CAST(coalesce(a.r, 0) AS BIGINT) AS n_removed, sha256(coalesce(a.t, '')) AS kept_sha256
+FROM d LEFT JOIN a ON d.doc_id = a.doc_id"""
+
+
+@query(REPEAT_SQL)
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
