@@ -1,6 +1,7 @@
 """Loading, landing, staging and refreshing whole tables."""
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
@@ -89,11 +90,15 @@ def stage(df: DataFrame, partition_by: str | None = None) -> DataFrame:
 
 
 def release(*frames: DataFrame) -> None:
-    """Delete the files of staged frames that are read no more."""
+    """Delete the files of staged frames that are read no more, and let the driver collect its garbage: the shuffle
+    files of frames that nothing refers to any longer go with it."""
     for frame in frames:
         spark = frame.sparkSession
         place = spark._jvm.org.apache.hadoop.fs.Path(frame._staged)
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    if frames:
+        gc.collect()
+        spark._jvm.System.gc()
 
 
 def refresh(df: DataFrame, target: str, schema: str | StructType | None = None, *, table: bool = False) -> None:
