@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import bpe, decontaminate, language_id, line_dedup, minhash, substring_dedup
+from rollbook.llm import bpe, decontaminate, language_id, licenses, line_dedup, minhash, substring_dedup, warc
 from rollbook.llm.common import documents, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -122,3 +122,43 @@ FROM d LEFT JOIN a ON d.doc_id = a.doc_id"""
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup.remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+#: The pages carry no date of capture.
+CAPTURED = "2020-01-01T00:00:00Z"
+
+_SQL_TIDY = r"trim(regexp_replace(regexp_replace(replace(replace(replace(replace(replace(replace({}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&'), '[ \t\r\f\x0b]+', ' ', 'g'), ' ?\n[ \n]*', chr(10), 'g'), ' ' || chr(10))".replace('\\"', '"')
+_SQL_UUID = "'<urn:uuid:' || substr({0}, 1, 8) || '-' || substr({0}, 9, 4) || '-' || substr({0}, 13, 4) || '-' || substr({0}, 17, 4) || '-' || substr({0}, 21, 12) || '>'"
+WARC_SQL = rf"""
+WITH p AS (SELECT page_id, coalesce(url, '') AS uri, coalesce(html, '') AS html FROM pages),
+r AS (SELECT *, 'sha256:' || sha256(html) AS payload_digest,
+             'HTTP/1.1 200 OK' || chr(13) || chr(10) || 'Content-Type: text/html; charset=utf-8' || chr(13) || chr(10) || 'Content-Length: ' || strlen(html) || chr(13) || chr(10) || chr(13) || chr(10) AS head FROM p),
+i AS (SELECT *, md5(uri || '|{CAPTURED}|' || payload_digest) AS h FROM r),
+u AS (SELECT *, {_SQL_UUID.format('h')} AS response_id FROM i),
+d AS (SELECT *, md5(response_id || '|metadata') AS hm, md5(response_id || '|conversion') AS hc,
+             regexp_replace(html, '(?is)<!--.*?-->|<script[^>]*>.*?</script>|<style[^>]*>.*?</style>', '', 'g') AS t0 FROM u),
+t AS (SELECT *, regexp_replace(regexp_replace(t0, '(?i)</?(p|div|br|li|ul|ol|tr|table|h[1-6]|article|section|header|footer|nav|title|blockquote|pre)( [^>]*)?/?>', chr(10), 'g'), '<[^>]*>', '', 'g') AS t1 FROM d),
+x AS (SELECT *, {_SQL_TIDY.format('t1')} AS text, {_SQL_TIDY.format("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")} AS title FROM t)
+SELECT page_id, response_id, {_SQL_UUID.format('hm')} AS metadata_id, {_SQL_UUID.format('hc')} AS conversion_id, uri AS target_uri, title,
+       regexp_extract(html, '(?i)<html[^>]* lang="([^"]*)"', 1) AS lang, len(list_distinct(regexp_extract_all(html, '(?i)<a [^>]*href="([^"]*)"', 1))) AS n_links,
+       payload_digest, 'sha256:' || sha256(head || html) AS block_digest,
+       sha256('WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: conversion' || chr(13) || chr(10) || 'WARC-Record-ID: ' || {_SQL_UUID.format('hc')} || chr(13) || chr(10)
+              || 'WARC-Date: {CAPTURED}' || chr(13) || chr(10) || 'WARC-Target-URI: ' || uri || chr(13) || chr(10) || 'WARC-Refers-To: ' || response_id || chr(13) || chr(10)
+              || 'WARC-Block-Digest: sha256:' || sha256(text) || chr(13) || chr(10) || 'Content-Type: text/plain; charset=utf-8' || chr(13) || chr(10)
+              || 'Content-Length: ' || strlen(text) || chr(13) || chr(10) || chr(13) || chr(10) || text || chr(13) || chr(10) || chr(13) || chr(10)) AS conversion_sha256
+FROM x"""
+
+
+@query(WARC_SQL)
+def op4_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.derive(warc.responses(table(spark, sf_dir, "pages"), CAPTURED))
+    return found.select("page_id", F.col("record_id").alias("response_id"), "metadata_id", "conversion_id", "target_uri", "title", "lang",
+                        F.size("links").cast("long").alias("n_links"), "payload_digest", "block_digest",
+                        F.sha2("conversion_record", 256).alias("conversion_sha256"))
+
+
+@query()
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model = licenses.train(licenses.sample_lines(docs, "doc_id", "text", sample_rows=600))
+    return licenses.scan(docs, model)
