@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import bpe, decontaminate, language_id, licenses, line_dedup, minhash, substring_dedup, warc, winnowing
+from rollbook.llm import bpe, decontaminate, language_id, licenses, line_dedup, minhash, substring_dedup, suffix_dedup, warc, winnowing
 from rollbook.llm.common import documents, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -168,3 +168,9 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = winnowing.compared(documents(spark, sf_dir).select("doc_id", "text"))
     return found.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
+@query()
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeated_bytes(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
