@@ -111,6 +111,15 @@ def coded(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return (((hashes >> np.uint64(CODE_BITS)) % np.uint64(buckets)) << np.uint64(CODE_BITS)) | code
 
 
+def among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are in a sorted array."""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    at = np.searchsorted(known, values)
+    at[at == len(known)] = 0
+    return known[at] == values
+
+
 def split_by_bucket(sorted_codes: np.ndarray) -> list[tuple[int, int, int]]:
     """(bucket, from, to) of each bucket in a sorted array of coded hashes."""
     if not len(sorted_codes):
@@ -150,7 +159,7 @@ def repeated_codes(chunks: DataFrame, codes: Callable[[dict], tuple[np.ndarray,
         values, shared = counted(own)
         flagged = [c[flags_of(m, len(c))] for c, m in zip(own, group["many"])]
         shared = np.union1d(values[shared], np.concatenate(flagged))
-        return pd.DataFrame({"bucket": group["bucket"], "chunk": group["chunk"], "bits": [bits(np.isin(c, shared, assume_unique=True)) for c in own]})
+        return pd.DataFrame({"bucket": group["bucket"], "chunk": group["chunk"], "bits": [bits(among(c, shared)) for c in own]})
 
     sent = arrow_map(chunks, send, "bucket long, chunk long, codes binary, many binary")
     return _by_chunk(sent.groupBy("bucket").applyInPandas(compare, "bucket long, chunk long, bits binary"), "bits")

@@ -76,7 +76,7 @@ def _first_level(chunks: DataFrame, answers: DataFrame, gone: DataFrame, length:
                 doc, pos, key = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
                 for i, (k, c) in enumerate(zip(keys, coded)):
                     if i not in copies and len(k):
-                        at = np.flatnonzero(np.isin(c, shared))
+                        at = np.flatnonzero(ch.among(c, shared))
                         doc.append(np.full(len(at), i))
                         pos.append(at)
                         key.append(k[at])
