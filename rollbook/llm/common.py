@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Rows of one Arrow batch. Texts may be long, so few at a time.
 BATCH_ROWS = 256
@@ -20,12 +21,28 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def arrow_map(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-              schema: str) -> DataFrame:
+              schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with batches small enough for whole long texts."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return df.mapInArrow(work, schema)
 
 
+def widened(df: DataFrame, ddl: str) -> StructType:
+    """The schema of a frame with the columns of a DDL string added."""
+    return StructType([*df.schema.fields, *StructType.fromDDL(ddl).fields])
+
+
+def set_aside(df: DataFrame, *needed: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """The needed columns and one struct of all others, so that no name can clash with an operator's; and a function that
+    puts the columns of its result (with changed or fewer rows) back as they were."""
+    others = [c for c in df.columns if c not in needed]
+    rest = F.struct(*[F.col(f"`{c}`") for c in others], F.lit(None).cast("int").alias("nothing_else")).alias("set_aside")
+
+    def restore(result: DataFrame) -> DataFrame:
+        return result.select(*[F.col(f"`{c}`") if c in needed else F.col(f"set_aside.`{c}`").alias(c) for c in df.columns])
+    return df.select(*needed, rest), restore
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """Drop columns that an operator is about to add: its own result replaces an input column of the same name."""
     lowered = {n.lower() for n in names}

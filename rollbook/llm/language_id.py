@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.llm.common import arrow_map, batch_of, without
+from rollbook.llm.common import arrow_map, batch_of, widened, without
 
 BUCKETS = 1 << 14
 BITS = 15
@@ -143,8 +143,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
                 [*batch.columns, pa.array(names), pa.array(np.where(known, score, 0.0)), pa.array(ambiguous & known)],
                 names=[*out, "lang_pred", "score", "ambiguous"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return arrow_map(docs, work, f"{fields}, lang_pred string, score double, ambiguous boolean")
+    return arrow_map(docs, work, widened(docs, "lang_pred string, score double, ambiguous boolean"))
 
 
 def held_out(id_col: str = "doc_id"):

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.llm.common import arrow_map, batch_of, without
+from rollbook.llm.common import arrow_map, batch_of, widened, without
 from rollbook.sources.tables import stage
 
 BLANKS = b" \t\n\v\f\r"
@@ -119,12 +119,12 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches
     lines, frequent = frequent_lines(line_table(docs, min_chars, id_col, text_col), min_docs, batches, fanout)
     # both sides are shuffled for this join alone, so that a line found everywhere can be split by AQE
     drops = (lines.join(stage(frequent), list(KEY)).where(F.coalesce(F.col("doc") < F.col("last_doc"), F.col("last_doc").isNotNull()))
-             .groupBy("doc").agg(F.collect_set(F.struct(*KEY)).alias("drop_keys")))
-    docs = without(docs, "n_lines", "n_dropped", "drop_keys")
+             .groupBy("doc").agg(F.collect_set(F.struct(*KEY)).alias("own_drop_keys")))
+    docs = without(docs.withColumn(text_col, F.col(text_col).cast("string")), "n_lines", "n_dropped")
     out = docs.columns
     at = out.index(text_col)
     joined = docs.join(drops.withColumnRenamed("doc", "drop_doc").hint("shuffle_hash"),
-                       F.col(id_col).cast("long").eqNullSafe(F.col("drop_doc")), "left").select(*[f"`{c}`" for c in out], "drop_keys")
+                       F.col(id_col).cast("long").eqNullSafe(F.col("drop_doc")), "left").select(*[f"`{c}`" for c in out], "own_drop_keys")
 
     def work(arrow):
         for batch in arrow:
@@ -134,7 +134,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches
                 n_lines.append(len(lines))
                 if drop:
                     gone = set(np.array([[d["key_hi"], d["key_lo"]] for d in drop], dtype=">i8").view("V16").ravel().tolist())
-                    lines = [t for t, k in zip(lines, line_keys(text.encode(), min_chars)) if k is None or k not in gone]
+                    lines = [t for t, k in zip(lines, line_keys((text or "").encode(), min_chars)) if k is None or k not in gone]
                 n_dropped.append(n_lines[-1] - len(lines))
                 kept.append("\n".join(lines) if drop else text or "")
             columns = batch.columns[:len(out)]
@@ -142,5 +142,4 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches
             yield pa.RecordBatch.from_arrays([*columns, pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())],
                                              names=[*out, "n_lines", "n_dropped"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString() if f.name != text_col else 'string'}" for f in docs.schema)
-    return arrow_map(joined, work, f"{fields}, n_lines long, n_dropped long")
+    return arrow_map(joined, work, widened(docs, "n_lines long, n_dropped long"))

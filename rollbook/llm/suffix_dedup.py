@@ -51,17 +51,20 @@ def sliding_least(values: np.ndarray, w: int) -> np.ndarray:
 def anchored_runs(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(first start, last start, key) of the runs of strings of a text."""
     none = np.zeros(0, np.int64)
+    if length < 4:
+        raise ValueError("length must be at least 4")
     if len(text) < length:
         return none, none, np.zeros(0, np.uint64)
-    grams = windows(_BYTES[np.frombuffer(text, np.uint8)], GRAM)
+    gram = min(GRAM, (length - 1) // 3)
+    grams = windows(_BYTES[np.frombuffer(text, np.uint8)], gram)
     place = np.arange(len(grams), dtype=np.uint64)
-    least = sliding_least((grams & ~_LOW) | (_LOW - place), length - GRAM + 1)
+    least = sliding_least((grams & ~_LOW) | (_LOW - place), length - gram + 1)
     anchor = (_LOW - (least & _LOW)).astype(np.int64)
-    before = anchor - np.arange(len(anchor)) >= GRAM + 2
+    before = anchor - np.arange(len(anchor)) >= gram
     first = np.flatnonzero(np.append(True, (anchor[1:] != anchor[:-1]) | (before[1:] != before[:-1])))
     last = np.append(first[1:], len(anchor)) - 1
     at, side = anchor[first], before[first]
-    return first, last, mix(grams[at], grams[np.where(side, at - GRAM, at + GRAM)] ^ side.astype(np.uint64))
+    return first, last, mix(grams[at], grams[np.where(side, at - gram, at + gram)] ^ side.astype(np.uint64))
 
 
 def sorted_suffixes(symbols: np.ndarray, depth: int) -> np.ndarray:
