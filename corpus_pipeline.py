@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollbook.llm import bpe, decontaminate, language_id, line_dedup, minhash
-from rollbook.llm.common import documents, table
+from rollbook.llm.common import documents, set_aside, table
 from rollbook.llm.queries import TOKENIZER
 from rollbook.sources.tables import stage
 
@@ -18,18 +18,20 @@ from rollbook.sources.tables import stage
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is ``und`` (no text, or no letter in it) go; every other one stays."""
     model = language_id.fit(docs.where(~language_id.held_out()), "lang", "text", "doc_id")
-    return language_id.predict(docs, model).where(F.col("lang_pred") != language_id.UNKNOWN).select(*docs.columns)
+    slim, restore = set_aside(docs, "text")
+    return restore(language_id.predict(slim, model).where(F.col("lang_pred") != language_id.UNKNOWN))
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of 40 or more characters in five or more documents stay in the last of them; every document stays."""
-    kept = line_dedup.dedup_lines(docs)
-    return kept.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    slim, restore = set_aside(docs, "doc_id", "text")
+    return restore(line_dedup.dedup_lines(slim)).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by five-word shingles at a similarity of 0.8, the one with the least id stays."""
-    return minhash.near_duplicates(docs, size=5, percent=80).where("kept").select(*docs.columns)
+    slim, restore = set_aside(docs, "doc_id", "text")
+    return restore(minhash.near_duplicates(slim, size=5, percent=80).where("kept"))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,8 +41,9 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, with digests of the ids and of the decoded bytes."""
-    return (bpe.encode_documents(docs, TOKENIZER, public_tokenizers.PATTERN)
-            .select("doc_id", "lang", "source", "n_tokens", "ids", "ids_sha256", "decoded_sha256"))
+    wanted = ("n_tokens", "ids", "ids_sha256", "decoded_sha256")
+    found = bpe.encode_documents(docs, TOKENIZER, public_tokenizers.PATTERN, results=wanted)
+    return found.select("doc_id", "lang", "source", *wanted)
 
 
 STAGES = [("language_id", identify), ("line_dedup", dedup_lines), ("near_dedup", dedup_near),

@@ -24,11 +24,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.llm.common import arrow_map, without
+from rollbook.llm.common import arrow_map, widened, without
 
-#: Entries of the transducer's tables and of the table of whole pieces.
-MAX_EDGES = 600_000
-MAX_PIECES = 200_000
+#: Entries of the transducer's tables, and of each generation of the table of whole pieces.
+MAX_EDGES = 900_000
+MAX_PIECES = 250_000
 #: Tokens decoded at a time.
 BLOCK = 4096
 
@@ -179,37 +179,34 @@ class Codec:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         self.fst, self.pattern = Transducer(ranks), regex.compile(pattern)
+        # pieces met lately and before that; the older ones go when the younger table is full, so common ones stay
         self.pieces: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
+
+    def _piece(self, piece: str) -> tuple[int, ...]:
+        known = self.older.get(piece)
+        if known is None:
+            raw = piece.encode("utf-8", "replace")
+            whole = self.fst.ranks.get(raw)  # a piece that is a token is that token, reachable by merges or not
+            known = (whole,) if whole is not None else tuple(self.fst.run(raw))
+        if len(piece) <= 64:
+            if len(self.pieces) >= MAX_PIECES:
+                self.pieces, self.older = {}, self.pieces
+            self.pieces[piece] = known
+        return known
 
     def encode(self, text: str) -> list[int]:
         ids: list[int] = []
-        pieces = self.pieces
         for piece in self.pattern.findall(text):
-            known = pieces.get(piece)
-            if known is None:
-                raw = piece.encode("utf-8", "replace")
-                whole = self.fst.ranks.get(raw)  # a piece that is a token is that token, reachable by merges or not
-                known = (whole,) if whole is not None else tuple(self.fst.run(raw))
-                if len(piece) <= 64:
-                    if len(pieces) >= MAX_PIECES:
-                        pieces.clear()
-                    pieces[piece] = known
-            ids += known
+            ids += self.pieces.get(piece) or self._piece(piece)
         return ids
 
-    def stream(self, ids: Iterable[int]) -> Iterator[str]:
-        """Texts of the tokens, as far as their bytes are complete characters."""
+    def stream(self, ids: list[int]) -> Iterator[tuple[bytes, str]]:
+        """Bytes of a block of tokens, and their text as far as its characters are complete."""
         machine = codecs.getincrementaldecoder("utf-8")("replace")
-        held: list[bytes] = []
-        for i in ids:
-            held.append(self.fst.token_bytes[i])
-            if len(held) == BLOCK:
-                yield machine.decode(b"".join(held))
-                held.clear()
-        yield machine.decode(b"".join(held), final=True)
-
-    def decode_bytes(self, ids: Iterable[int]) -> bytes:
-        return b"".join(map(self.fst.token_bytes.__getitem__, ids))
+        for i in range(0, max(1, len(ids)), BLOCK):
+            block = b"".join(map(self.fst.token_bytes.__getitem__, ids[i:i + BLOCK]))
+            yield block, machine.decode(block, final=i + BLOCK >= len(ids))
 
 
 _CODECS: dict[tuple[str, str], Codec] = {}
@@ -223,35 +220,38 @@ def codec(path: str, pattern: str) -> Codec:
     return _CODECS[path, pattern]
 
 
-def encode_documents(docs: DataFrame, path: str, pattern: str, text_col: str = "text") -> DataFrame:
-    """The documents with token ids, their number, the decoded text and digests of ids and decoded bytes added.
+RESULTS = {"ids": "array<int>", "n_tokens": "long", "decoded": "string", "ids_sha256": "string", "decoded_sha256": "string"}
+
+
+def encode_documents(docs: DataFrame, path: str, pattern: str, text_col: str = "text",
+                     results: tuple[str, ...] = tuple(RESULTS)) -> DataFrame:
+    """The documents with the ``results``: token ids, their number, the decoded text, and digests of ids and decoded bytes.
 
     A NULL or empty text has no tokens and decodes to ''. ``path`` is a rank file installed on every executor. An input
     column named like a result column is replaced.
     """
-    docs = without(docs, "ids", "n_tokens", "decoded", "ids_sha256", "decoded_sha256")
+    docs = without(docs, *RESULTS)
     out = docs.columns
     at = out.index(text_col)
 
     def work(batches):
         own = codec(path, pattern)
         for batch in batches:
-            ids, sizes, texts, id_digests, digests = [], [], [], [], []
+            found = {name: [] for name in RESULTS}
             for text in batch.column(at).to_pylist():
-                tokens = np.array(own.encode(text or ""), dtype="<u4")
-                listed = tokens.tolist()
-                decoded = "".join(own.stream(listed))
-                ids.append(tokens.astype(np.int32))
-                sizes.append(len(tokens))
-                texts.append(decoded)
-                id_digests.append(hashlib.sha256(tokens.tobytes()).hexdigest())
-                digests.append(hashlib.sha256(own.decode_bytes(listed)).hexdigest())
-            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(offsets, np.concatenate(ids) if ids else np.zeros(0, np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, lists, pa.array(sizes, pa.int64()), pa.array(texts, pa.string()), pa.array(id_digests),
-                 pa.array(digests)], names=[*out, "ids", "n_tokens", "decoded", "ids_sha256", "decoded_sha256"])
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return arrow_map(docs, work, f"{fields}, ids array<int>, n_tokens long, decoded string, ids_sha256 string, "
-                                 "decoded_sha256 string")
+                listed = own.encode(text or "")
+                tokens = np.array(listed, dtype="<u4")
+                digest, texts = hashlib.sha256(), []
+                for block, part in own.stream(listed):
+                    digest.update(block)
+                    texts.append(part)
+                found["ids"].append(tokens.view("<i4"))
+                found["n_tokens"].append(len(tokens))
+                found["decoded"].append("".join(texts))
+                found["ids_sha256"].append(hashlib.sha256(tokens.tobytes()).hexdigest())
+                found["decoded_sha256"].append(digest.hexdigest())
+            types = {"ids": pa.list_(pa.int32()), "n_tokens": pa.int64()}
+            yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(found[r], types.get(r, pa.string())) for r in results]],
+                                             names=[*out, *results])
+
+    return arrow_map(docs, work, widened(docs, ", ".join(f"{r} {RESULTS[r]}" for r in results)))

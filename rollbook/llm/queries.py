@@ -36,8 +36,8 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    return (bpe.encode_documents(docs, TOKENIZER, public_tokenizers.PATTERN)
-            .select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256"))
+    wanted = ("n_tokens", "ids_sha256", "decoded_sha256")
+    return bpe.encode_documents(docs, TOKENIZER, public_tokenizers.PATTERN, results=wanted).select("doc_id", *wanted)
 
 
 LINE_SQL = r"""
