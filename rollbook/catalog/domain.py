@@ -16,7 +16,7 @@ from rollbook.plans import profiles as pr
 from rollbook.plans import recent as rc
 from rollbook.plans import risk as rk
 from rollbook.plans import sped as sp
-from rollbook.sources import snapshot, stage
+from rollbook.sources import stage
 
 AS_OF = dt.datetime(2024, 1, 25, 12)
 
@@ -104,19 +104,16 @@ def enrollment_universe_short_form(t: Tables) -> DataFrame:
     return rows.groupBy("category", "lea_code").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("D2,S3,A2,W3", with_feeds(["roster"], """,
-    day AS (SELECT DISTINCT usi, enrollment_responsible_lea_id AS lea_code, new_to_us, native_language_code FROM roster
-            WHERE logdate = TIMESTAMP '1998-10-03 00:00:00' OR logdate >= TIMESTAMP '1999-01-01 00:00:00'),
+@query("D2,A2,W3", with_feeds(["roster"], """,
+    day AS (SELECT DISTINCT usi, enrollment_responsible_lea_id AS lea_code, new_to_us, native_language_code FROM roster),
     many AS (SELECT usi, lea_code FROM day GROUP BY usi, lea_code HAVING count(*) > 1),
     wanted AS (SELECT day.* FROM day JOIN many USING (usi, lea_code)
-               WHERE new_to_us = 'Y' OR trim(coalesce(native_language_code, '')) <> '')
+               WHERE upper(trim(new_to_us)) = 'Y' OR trim(coalesce(native_language_code, '')) <> '')
     SELECT usi, lea_code, new_to_us, native_language_code FROM
-      (SELECT *, rank() OVER (PARTITION BY usi, lea_code ORDER BY new_to_us DESC NULLS LAST,
-                              native_language_code DESC NULLS LAST) AS r FROM wanted) x WHERE r = 1"""))
+      (SELECT *, rank() OVER (PARTITION BY usi, lea_code ORDER BY upper(rtrim(new_to_us)) DESC NULLS LAST,
+                              upper(rtrim(native_language_code)) DESC NULLS LAST) AS r FROM wanted) x WHERE r = 1"""))
 def language_duplicates(t: Tables) -> DataFrame:
-    history = feed(t, "roster")
-    late = history.where(F.col("logdate") >= F.lit("1999-01-01").cast("timestamp_ntz"))
-    return en.language_duplicates(snapshot(history, "logdate", dt.date(1998, 10, 3)).unionByName(late))
+    return en.language_duplicates(feed(t, "roster"))
 
 
 # ---------------------------------------------------------------- special education
@@ -215,7 +212,7 @@ def _minutes_sql(expired: str) -> str:
                  CASE WHEN trim(time_spent) = '' THEN 0 ELSE CAST(CAST(time_spent AS DECIMAL(10,2)) * 100 AS BIGINT) END
                  * CASE WHEN time_units = '1' THEN 1 ELSE 60 END
                  * CASE time_period WHEN '1' THEN 180 WHEN '2' THEN 36 WHEN '3' THEN 9 WHEN '6' THEN 1 END
-                 * CASE WHEN trim(coalesce(num_sessions, '')) = '' THEN 1 ELSE CAST(num_sessions AS INTEGER) END AS v
+                 * CASE WHEN trim(coalesce(num_sessions, '')) = '' THEN 1 ELSE CAST(num_sessions AS BIGINT) END AS v
           FROM services s WHERE inactive = '0'),
     picked AS (SELECT DISTINCT studentcode, district_code, studentid, iep_id, iep_end FROM univ),
     sums AS (SELECT p.studentcode, p.district_code,
@@ -284,13 +281,13 @@ _REPORT = """,
 _REPORT_SELECT = """
     SELECT studentid, studentcode, {lea} AS district_code, school_code, iep_id, status AS eligibility_status,
            raceethnicity AS race_code, pd_name AS primary_disability_name, CASE aide WHEN 'yes' THEN 'YES' ELSE 'NO' END
-             AS dedicated_aide, CAST(CAST(h_a AS DECIMAL(20,0)) / 100 AS DECIMAL(10,2)) AS aide_hours,
+             AS dedicated_aide, CAST(CAST(h_a AS DECIMAL(20,0)) / 100 AS DECIMAL(18,2)) AS aide_hours,
            CAST(units * 5 AS DECIMAL(12,2)) AS school_hours_per_week,
-           CAST(CAST(h_o AS DECIMAL(20,0)) / 100 AS DECIMAL(10,2)) AS outside_hours,
-           CAST(CAST(h_i AS DECIMAL(20,0)) / 100 AS DECIMAL(10,2)) AS inside_hours,
-           CAST(CAST(h_t AS DECIMAL(20,0)) / 100 AS DECIMAL(10,2)) AS total_hours,
-           CAST(p_o AS DECIMAL(10,0)) AS outside_percent, CAST(p_i AS DECIMAL(10,0)) AS inside_percent, lre,
-           CAST(CAST(h_all AS DECIMAL(20,0)) / 100 AS DECIMAL(12,2)) AS total_hours_with_aide, level AS sped_level,
+           CAST(CAST(h_o AS DECIMAL(20,0)) / 100 AS DECIMAL(18,2)) AS outside_hours,
+           CAST(CAST(h_i AS DECIMAL(20,0)) / 100 AS DECIMAL(18,2)) AS inside_hours,
+           CAST(CAST(h_t AS DECIMAL(20,0)) / 100 AS DECIMAL(18,2)) AS total_hours,
+           CAST(p_o AS DECIMAL(18,0)) AS outside_percent, CAST(p_i AS DECIMAL(18,0)) AS inside_percent, lre,
+           CAST(CAST(h_all AS DECIMAL(20,0)) / 100 AS DECIMAL(18,2)) AS total_hours_with_aide, level AS sped_level,
            env AS seds_environment, ude, CASE WHEN status IS NULL THEN 'Not Recv Services under IDEA' ELSE '' END AS flag,
            TIMESTAMP '2024-01-25 12:00:00' AS snapshot_date FROM published"""
 _REPORT_COLUMNS = ["studentid", "studentcode", "district_code", "school_code", "iep_id", "eligibility_status",
@@ -323,32 +320,54 @@ def sped_current_first_version(t: Tables) -> DataFrame:
     return _sped(t, sp.FIRST).select(*_REPORT_COLUMNS)
 
 
-@query("D12,D13,D14,J12,F5", with_feeds(
-    _REPORT_FEEDS, _SPED_EVENTS + _SPED_UNIVERSE + _minutes_sql("") + _REPORT.format(eligible="status = 'YES' AND") + """,
-    top AS (SELECT usi, max(special_education_level) AS level FROM levels WHERE special_education_level <> '' GROUP BY usi),
-    plan AS (SELECT usi, CAST(enrollment_responsible_lea_id AS INTEGER) AS lea, max(accommodation_504) AS a
+_SHEET = """,
+    top AS (SELECT usi, max_by(special_education_level, (upper(special_education_level), special_education_level)) AS level
+            FROM levels WHERE special_education_level <> '' GROUP BY usi),
+    plan AS (SELECT usi, CAST(enrollment_responsible_lea_id AS BIGINT) AS lea, max(upper(accommodation_504)) AS a
              FROM roster WHERE trim(coalesce(usi, '')) <> '' GROUP BY 1, 2)
     SELECT DISTINCT p.studentcode, e.first_name, e.last_name, e.dob AS date_of_birth,
            strftime(iep_begin, '%m/%d/%Y') AS current_iep_start_date, strftime(iep_end, '%m/%d/%Y') AS current_iep_end_date,
            CASE WHEN dated_id IS NULL THEN strftime(iep_created, '%m/%d/%Y') ELSE 'null' END AS current_iep_amendment_date,
            pd_name AS current_primary_disability,
-           CAST(CAST(h_all AS DECIMAL(20,0)) / 100 AS DECIMAL(12,2)) AS current_hours, p.level AS current_swd_level,
+           CAST(CAST(h_all AS DECIMAL(20,0)) / 100 AS DECIMAL(18,2)) AS current_hours, p.level AS current_swd_level,
            top.level AS highest_swd_level, CASE a WHEN 'Y' THEN 'YES' WHEN 'N' THEN 'NO' ELSE a END AS accommodation_504,
-           p.district_code AS lea_code
+           {lea} AS lea_code
     FROM published p
-    LEFT JOIN sped_enrollments e ON e.usi = p.studentcode AND CAST(e.lea_code AS INTEGER) = CAST(p.district_code AS INTEGER)
+    {join} sped_enrollments e ON e.usi = p.studentcode AND CAST(e.lea_code AS INTEGER) = CAST(p.district_code AS INTEGER)
     LEFT JOIN top ON top.usi = p.studentcode
-    LEFT JOIN plan ON plan.usi = p.studentcode AND plan.lea = CAST(p.district_code AS INTEGER)"""))
+    LEFT JOIN plan ON plan.usi = p.studentcode AND plan.lea = CAST(p.district_code AS INTEGER)"""
+
+
+@query("D12,D13,D14,J12,F5", with_feeds(
+    _REPORT_FEEDS, _SPED_EVENTS + _SPED_UNIVERSE + _minutes_sql("") + _REPORT.format(eligible="status = 'YES' AND")
+    + _SHEET.format(join="LEFT JOIN", lea="p.district_code")))
 def swd_sheet(t: Tables) -> DataFrame:
+    return _sheet(t, sp.CURRENT)
+
+
+def _sheet(t: Tables, options: sp.SpedOptions) -> DataFrame:
     levels = feed(t, "levels")
     years = [levels.where(F.col("school_year") < 1998), levels.where(F.col("school_year") >= 1998)]
-    return sp.swd_sheet(_sped(t, sp.CURRENT), feed(t, "sped_enrollments"), sp.highest_levels(years),
-                        sp.plan_504(feed(t, "roster")))
+    return sp.swd_sheet(_sped(t, options), feed(t, "sped_enrollments"), sp.highest_levels(years), sp.plan_504(feed(t, "roster")), options)
+
+
+@query("D12,D14", with_feeds(
+    _REPORT_FEEDS, _NO_ELIGIBILITY + _SPED_UNIVERSE + _minutes_sql("OR iep_end < DATE '2024-01-25'") + _REPORT.format(eligible="")
+    + _SHEET.format(join="JOIN", lea="CASE WHEN p.district_code = '1' THEN '001' ELSE p.district_code END")))
+def swd_sheet_with_504(t: Tables) -> DataFrame:
+    return _sheet(t, sp.WITH_504)
+
+
+@query("D9,D10,D11,U3", with_feeds(
+    _REPORT_FEEDS, _SPED_EVENTS + _SPED_UNIVERSE + _minutes_sql("OR iep_end < DATE '2024-01-25'")
+    + _REPORT.format(eligible="status = 'YES' AND") + _REPORT_SELECT.format(lea="district_code")))
+def sped_current_trial(t: Tables) -> DataFrame:
+    return _sped(t, sp.TRIAL).select(*_REPORT_COLUMNS)
 
 
 @query("D13,W3,P5", with_feeds(["roster"], """
     SELECT usi, lea_code, CASE a WHEN 'Y' THEN 'YES' WHEN 'N' THEN 'NO' ELSE a END AS accommodation_504 FROM
-      (SELECT usi, CAST(enrollment_responsible_lea_id AS INTEGER) AS lea_code, max(accommodation_504) AS a FROM roster
+      (SELECT usi, CAST(enrollment_responsible_lea_id AS BIGINT) AS lea_code, max(upper(accommodation_504)) AS a FROM roster
        WHERE trim(coalesce(usi, '')) <> '' GROUP BY 1, 2) x"""))
 def plan_504(t: Tables) -> DataFrame:
     return sp.plan_504(feed(t, "roster"))
@@ -359,9 +378,9 @@ def plan_504(t: Tables) -> DataFrame:
                       CAST(sum(CASE WHEN l_returnflag <> 'R' THEN l_quantity ELSE 0 END) AS BIGINT) AS i
                FROM lineitem GROUP BY l_orderkey)
     SELECT l_orderkey, CAST(CAST((coalesce(o, 0) + i) * 100 * 2 + 60 AS BIGINT) // 120 / CAST(100 AS DECIMAL(5,0))
-                            AS DECIMAL(10,2)) AS total_hours,
-           CAST((((coalesce(o, 0) * 10000 * 2 + 150) // 300) * 2 + 100) // 200 AS DECIMAL(10,0)) AS outside_percent,
-           CAST(greatest((((150 - coalesce(o, 0)) * 10000 * 2 + 150) // 300 * 2 + 100) // 200, 0) AS DECIMAL(10,0))
+                            AS DECIMAL(18,2)) AS total_hours,
+           CAST((((coalesce(o, 0) * 10000 * 2 + 150) // 300) * 2 + 100) // 200 AS DECIMAL(18,0)) AS outside_percent,
+           CAST(greatest((((150 - coalesce(o, 0)) * 10000 * 2 + 150) // 300 * 2 + 100) // 200, 0) AS DECIMAL(18,0))
              AS inside_percent,
            CASE WHEN (coalesce(o, 0) * 200 + 150) // 300 <= 20 THEN 'A: 0-20%'
                 WHEN (coalesce(o, 0) * 200 + 150) // 300 <= 60 THEN 'B: 21-60%' ELSE 'C: 60+ %' END AS lre FROM q""")
@@ -659,8 +678,8 @@ def _only(flag: str, value: str, otherwise: str = "''") -> str:
              FROM master m LEFT JOIN short p
                ON p.building = CASE m.school_code WHEN '141' THEN '9000' ELSE m.school_code END)
     SELECT DISTINCT school AS school_code, district AS lea_code, {_only("social", "'Y'", "'N'")} AS social_media,
-           {_only("social", "substr(twitter, 1, 500)")} AS twitter_link,
-           {_only("social", "substr(facebook, 1, 500)")} AS facebook_link, {_only("org", "'Y'", "'N'")} AS parent_org,
+           {_only("social", "twitter")} AS twitter_link,
+           {_only("social", "facebook")} AS facebook_link, {_only("org", "'Y'", "'N'")} AS parent_org,
            {_only("org", "org_link")} AS parent_org_link, {_only("org_poc", "org_poc", "'N'")} AS parent_org_poc,
            {_only("org_poc", "first || last", "NULL")} AS poc_first_name,
            {_only("org_poc", "first || last", "NULL")} AS poc_last_name, {_only("org_poc", "email")} AS poc_email,

@@ -66,10 +66,10 @@ FEEDS: dict[str, str] = {
                    CASE WHEN o_orderkey % 2 = 0 THEN 'Pending' ELSE 'enrolled' END END AS enrollment_status,
                CASE o_orderkey % 8 WHEN 0 THEN 'Custom' WHEN 1 THEN '' WHEN 2 THEN ' ' ELSE NULL END AS custom1,
                CASE WHEN o_custkey % 3 = 0 THEN 'Y' ELSE 'N' END AS lep_indicator,
-               CASE WHEN o_orderkey % 4 = 0 THEN 'Y' WHEN o_orderkey % 4 = 1 THEN '' ELSE NULL END AS new_to_us,
-               CASE WHEN o_orderkey % 3 = 0 THEN 'spa' WHEN o_orderkey % 3 = 1 THEN 'amh' ELSE '' END
+               CASE WHEN o_orderkey % 8 = 0 THEN 'Y' WHEN o_orderkey % 8 = 4 THEN 'y ' WHEN o_orderkey % 4 = 1 THEN '' ELSE NULL END AS new_to_us,
+               CASE WHEN o_orderkey % 6 = 0 THEN 'SPA' WHEN o_orderkey % 3 = 0 THEN 'spa' WHEN o_orderkey % 3 = 1 THEN 'amh' ELSE '' END
                    AS native_language_code,
-               CASE WHEN o_orderkey % 6 = 0 THEN 'Y' WHEN o_orderkey % 6 = 1 THEN 'N' WHEN o_orderkey % 6 = 2 THEN ''
+               CASE WHEN o_orderkey % 6 = 0 THEN 'Y' WHEN o_orderkey % 6 = 1 THEN 'n' WHEN o_orderkey % 6 = 2 THEN ''
                     ELSE NULL END AS accommodation_504,
                o_orderdate AS logdate
         FROM {_SPELLS}""",
@@ -111,13 +111,13 @@ FEEDS: dict[str, str] = {
                CASE WHEN n_nationkey % 6 = 5 THEN '0' ELSE '1' END AS valid_for_enrollment
         FROM {{nation}}""",
     "exits": f"""
-        SELECT CAST(o_custkey AS STRING) AS usi,
+        SELECT CASE WHEN copy = 0 AND o_orderkey % 3 = 0 THEN 'none ' ELSE '' END || CAST(o_custkey AS STRING) AS usi,
                CASE WHEN lea = '1' THEN '001' ELSE lea END AS leaid,
                school AS schoolid, exit_code AS enrollment_exit_code,
                exit_day + CASE WHEN lea IN ('1', '101') THEN 1 ELSE 0 END AS enrollment_exit_date,
-               CAST((o_orderkey + copy) % 6 AS INT) AS exitstatusid, CAST(o_orderkey % 4 AS INT) AS workflowid,
+               CAST((o_orderkey + copy) % 6 AS BIGINT) AS exitstatusid, CAST(o_orderkey % 4 AS BIGINT) AS workflowid,
                CASE WHEN o_orderkey % 19 = 0 THEN '2016-17' ELSE '2017-18' END AS school_year
-        FROM (SELECT *, 0 AS copy FROM {_SPELLS} WHERE o_orderkey % 3 <> 0
+        FROM (SELECT *, 0 AS copy FROM {_SPELLS}
               UNION ALL SELECT *, 3 AS copy FROM {_SPELLS} WHERE o_orderkey % 7 = 0) copies""",
     "exit_status": """
         SELECT r_regionkey AS exitstatusid, CASE r_regionkey WHEN 0 THEN 'Pending Review' WHEN 1 THEN
@@ -139,12 +139,12 @@ FEEDS: dict[str, str] = {
                DATE '2005-01-01' + CAST(c_custkey % 3000 AS INT)
         FROM {{customer}} WHERE c_custkey % 10 = 0""",
     "sped_students": f"""
-        SELECT CAST(c_custkey + 1000 AS INT) AS id, {_ID} AS studentcode, {_lea(_HOME)} AS district_code
+        SELECT CAST(c_custkey + 1000 AS BIGINT) AS id, {_ID} AS studentcode, {_lea(_HOME)} AS district_code
         FROM {{customer}}
         UNION ALL
-        SELECT CAST(c_custkey + 500000 AS INT), {_ID}, {_lea(_HOME)} FROM {{customer}} WHERE c_custkey % 15 = 0""",
+        SELECT CAST(c_custkey + 500000 AS BIGINT), {_ID}, {_lea(_HOME)} FROM {{customer}} WHERE c_custkey % 15 = 0""",
     "sped_events": f"""
-        SELECT CAST(event_id AS INT) AS id, CAST({_LOG_STUDENT} AS INT) AS studentid, {_lea(_HOME)} AS district_code,
+        SELECT CAST(event_id AS BIGINT) AS id, CAST({_LOG_STUDENT} AS BIGINT) AS studentid, {_lea(_HOME)} AS district_code,
                CASE event_type WHEN 'purchase' THEN '2' WHEN 'signup' THEN '1'
                     WHEN 'error' THEN CASE WHEN event_id % 12 = 0 THEN '110' ELSE '9' END
                     WHEN 'click' THEN CASE WHEN event_id % 16 = 0 THEN '55' ELSE '9' END ELSE '3' END AS eventtype,
@@ -154,11 +154,11 @@ FEEDS: dict[str, str] = {
                CASE WHEN event_id % 13 = 0 THEN '1' ELSE '0' END AS inactive
         FROM {{events}} JOIN {{customer}} ON user_id = c_custkey""",
     "amendments": f"""
-        SELECT CAST({_LOG_STUDENT} AS INT) AS studentid, {_lea(_HOME)} AS lea, CAST(event_id AS INT) AS eventid
+        SELECT CAST({_LOG_STUDENT} AS BIGINT) AS studentid, {_lea(_HOME)} AS lea, CAST(event_id AS BIGINT) AS eventid
         FROM {{events}} JOIN {{customer}} ON user_id = c_custkey WHERE event_type = 'purchase' AND event_id % 4 = 0""",
     "services": f"""
-        SELECT CAST({_LOG_STUDENT} AS INT) AS studentid, {_lea(_HOME)} AS district_code,
-               CAST(event_id AS INT) AS eventid,
+        SELECT CAST({_LOG_STUDENT} AS BIGINT) AS studentid, {_lea(_HOME)} AS district_code,
+               CAST(event_id AS BIGINT) AS eventid,
                CASE WHEN l_partkey % 5 = 0 THEN '584' ELSE CAST(l_suppkey % 8 AS STRING) END AS serviceid,
                CASE WHEN l_partkey % 20 = 0 THEN ' ' ELSE CAST(l_quantity AS STRING) END AS time_spent,
                CASE WHEN l_suppkey % 3 = 0 THEN '2' ELSE '1' END AS time_units,
@@ -171,8 +171,8 @@ FEEDS: dict[str, str] = {
                CASE l_suppkey % 5 WHEN 0 THEN '1' WHEN 1 THEN '0' WHEN 2 THEN '' ELSE NULL END AS consultation,
                CASE l_orderkey % 6 WHEN 0 THEN 'True' WHEN 1 THEN 'false' WHEN 2 THEN '0' WHEN 3 THEN ' ' ELSE NULL END
                    AS extended_school_year
-        FROM {{lineitem}} JOIN {{events}} ON l_orderkey = event_id JOIN {{customer}} ON user_id = c_custkey
-        WHERE event_type = 'purchase'""",
+        FROM {{lineitem}} JOIN {{events}} ON event_id = l_orderkey % (SELECT count(*) FROM {{events}})
+             JOIN {{customer}} ON user_id = c_custkey""",
     "service_types": """
         SELECT CAST(n_nationkey AS STRING) AS serviceid, CASE WHEN n_nationkey = 3 THEN '1' ELSE '' END
                AS exclude_from_618 FROM {nation}
@@ -188,21 +188,21 @@ FEEDS: dict[str, str] = {
         SELECT r_regionkey AS id, 'Type ' || r_name AS school_type, r_name AS description FROM {region}
         WHERE r_regionkey <> 4""",
     "race": f"""
-        SELECT {_ID} AS usi, CAST(c_custkey % 7 AS STRING) AS raceethnicity, c_mktsegment AS race_fin
-        FROM {{customer}} WHERE c_custkey % 9 <> 0""",
+        SELECT CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE {_ID} END AS usi, CAST(c_custkey % 7 AS STRING) AS raceethnicity,
+               c_mktsegment AS race_fin FROM {{customer}}""",
     "disabilities": """
         SELECT CAST(r_regionkey AS STRING) AS id, 'Disability ' || r_name AS name, 'C' || CAST(r_regionkey AS STRING)
                AS code_618, '1' AS district_code, CASE WHEN r_regionkey = 3 THEN '1' ELSE '0' END AS inactive
         FROM {region}""",
     "custom": f"""
-        SELECT CAST({_LOG_STUDENT} AS INT) AS studentid, {_lea(_HOME)} AS district_code,
-               CAST(event_id AS INT) AS eventid, 'AideRequired' AS name,
+        SELECT CAST({_LOG_STUDENT} AS BIGINT) AS studentid, {_lea(_HOME)} AS district_code,
+               CAST(event_id AS BIGINT) AS eventid, CASE WHEN event_id % 5 = 0 THEN 'Other' ELSE 'AideRequired' END AS name,
                CASE event_id % 4 WHEN 0 THEN 'yes' WHEN 1 THEN 'No' WHEN 2 THEN '' ELSE NULL END AS value
-        FROM {{events}} JOIN {{customer}} ON user_id = c_custkey WHERE event_type = 'purchase' AND event_id % 5 <> 0
+        FROM {{events}} JOIN {{customer}} ON user_id = c_custkey 
         UNION ALL
-        SELECT CAST({_LOG_STUDENT} AS INT), {_lea(_HOME)}, CAST(event_id AS INT), 'LREFullTime',
+        SELECT CAST({_LOG_STUDENT} AS BIGINT), {_lea(_HOME)}, CAST(event_id AS BIGINT), 'LREFullTime',
                'env ' || CAST(event_id % 6 AS STRING)
-        FROM {{events}} JOIN {{customer}} ON user_id = c_custkey WHERE event_type = 'purchase'""",
+        FROM {{events}} JOIN {{customer}} ON user_id = c_custkey""",
     "env_map": """
         SELECT 'Env ' || CAST(r_regionkey AS STRING) AS seds_environment, 'Count ' || r_name
                AS childcount_environment FROM {region}""",
@@ -213,14 +213,14 @@ FEEDS: dict[str, str] = {
         FROM {{customer}}""",
     "levels": """
         SELECT CAST(o_custkey AS STRING) AS usi,
-               CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE 'Level ' || CAST(o_orderkey % 5 AS STRING) END
+               CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE CASE WHEN o_orderkey % 2 = 0 THEN 'Level ' ELSE 'level ' END || CAST(o_orderkey % 5 AS STRING) END
                AS special_education_level, EXTRACT(YEAR FROM o_orderdate) AS school_year FROM {orders}""",
     # ------------------------------------------------------------ risk and profiles
     "indicators": f"""
-        SELECT {_ID} AS usi, CASE c_custkey % 5 WHEN 0 THEN 'Y' WHEN 1 THEN 'n' WHEN 2 THEN NULL ELSE '' END AS tanf,
+        SELECT CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE {_ID} END AS usi, CASE c_custkey % 5 WHEN 0 THEN 'Y' WHEN 1 THEN 'n' WHEN 2 THEN NULL ELSE '' END AS tanf,
                CASE WHEN c_custkey % 7 = 0 THEN 'y ' ELSE 'N' END AS snap, 'N' AS cfsa,
                CASE c_custkey % 11 WHEN 0 THEN 'Shelter' WHEN 1 THEN ' ' ELSE NULL END AS housing_status
-        FROM {{customer}} WHERE c_custkey % 13 <> 0
+        FROM {{customer}}
         UNION ALL
         SELECT {_ID}, 'N', 'N', 'Y', NULL FROM {{customer}} WHERE c_custkey % 17 = 0""",
     "building_fields": """

@@ -3,7 +3,7 @@ from rollbook.functions.dates import (as_date, as_moment, midnight, moment, orde
                                       text_us, year_diff, years_before)
 from rollbook.functions.flags import (any_flag, band, clamp_min, fill_blank, is_false, is_yes, label,
                                       recode, when_flag, yes_no)
-from rollbook.functions.numbers import dec, safe_div, trunc_int
+from rollbook.functions.numbers import dec, safe_div, to_scale, trunc_int
 from rollbook.functions.ordering import precedes
 from rollbook.functions.text import (col, equals, fold, is_blank, like_ci, none_of, norm, not_blank,
                                      one_of, same)
@@ -11,4 +11,4 @@ from rollbook.functions.text import (col, equals, fold, is_blank, like_ci, none_
 __all__ = ["any_flag", "as_date", "as_moment", "band", "clamp_min", "col", "dec", "equals", "fill_blank",
            "fold", "is_blank", "is_false", "is_yes", "label", "like_ci", "midnight", "moment", "none_of",
            "norm", "not_blank", "one_of", "order_date", "precedes", "recode", "safe_div", "same",
-           "shift_days", "text_us", "trunc_int", "when_flag", "year_diff", "years_before", "yes_no"]
+           "shift_days", "text_us", "to_scale", "trunc_int", "when_flag", "year_diff", "years_before", "yes_no"]

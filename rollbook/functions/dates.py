@@ -21,17 +21,22 @@ def midnight(as_of: dt.datetime) -> Column:
     return F.lit(as_of.date().isoformat()).cast("timestamp_ntz")
 
 
+def _other_forms(c: Column) -> Column:
+    """Timestamp from month/day/year, with or without a time, or from yyyymmdd."""
+    return F.try_to_timestamp(F.nullif(F.rtrim(c.cast("string")), F.lit("")), F.lit("[M/d/yyyy[ H:mm[:ss]]][yyyyMMdd]"))
+
+
 def as_date(c: str | Column) -> Column:
-    """Date from a date, timestamp or text (ISO or month/day/year); NULL where it does not parse."""
+    """Date from a date, timestamp or text (ISO, month/day/year with or without a time, or yyyymmdd); NULL where it does
+    not parse."""
     c = col(c)
-    return F.coalesce(c.try_cast("date"), F.try_to_date(c.cast("string"), "M/d/yyyy"))
+    return F.coalesce(c.try_cast("date"), _other_forms(c).cast("date"))
 
 
 def as_moment(c: str | Column) -> Column:
     """Zone-free timestamp from a date, timestamp or text; NULL where it does not parse."""
     c = col(c)
-    return F.coalesce(c.try_cast("timestamp_ntz"),
-                      F.try_to_date(c.cast("string"), "M/d/yyyy").cast("timestamp_ntz"))
+    return F.coalesce(c.try_cast("timestamp_ntz"), _other_forms(c).cast("timestamp_ntz"))
 
 
 def order_date(c: str | Column) -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.functions import col, dec, equals, is_blank, label, norm
+from rollbook.functions import col, dec, equals, fold, is_blank, label, norm, to_scale
 
 # How often a service of a period code falls in a week, in 36ths (1 daily x5, 2 weekly x1,
 # 3 monthly /4, 6 yearly /36). Whole 36ths keep the sum exact; the one division comes last.
@@ -19,12 +19,12 @@ def minutes_36ths(spent: str | Column = "time_spent", units: str | Column = "tim
     time = F.when(is_blank(spent), F.lit(0)).otherwise(dec(spent, 10, 2))
     unit = F.when(equals(units, "1"), 1).otherwise(60)
     weight = label([(equals(period, code), w) for code, w in WEEKLY_36THS.items()])
-    count = F.when(is_blank(sessions), 1).otherwise(col(sessions).try_cast("int"))
+    count = F.when(is_blank(sessions), 1).otherwise(col(sessions).try_cast("bigint"))
     return time.cast("decimal(10,2)") * (unit * weight * count).cast("decimal(12,0)")
 
 
 def from_36ths(total: Column) -> Column:
-    return dec(total / F.lit(36), 18, 6)
+    return to_scale(total / F.lit(36), 18, 6)
 
 
 def weekly_minutes(df: DataFrame, keys: Sequence[str], out: str = "minutes", **columns: str | Column) -> DataFrame:
@@ -44,8 +44,8 @@ def multi_flag_keys(df: DataFrame, key: str, flag: str) -> DataFrame:
 
 def max_level(df: DataFrame, key: str = "usi", level: str = "special_education_level",
               out: str = "max_sped_level") -> DataFrame:
-    """Greatest non-blank level text per key."""
-    return df.where(~is_blank(level)).groupBy(key).agg(F.max(level).alias(out))
+    """Greatest non-blank level text per key, without regard to case; of equal ones the greatest as written."""
+    return df.where(~is_blank(level)).groupBy(key).agg(F.max(F.struct(fold(level), F.col(level).alias("text")))["text"].alias(out))
 
 
 def pivot_fields(df: DataFrame, keys: Sequence[str], label_col: str, value_col: str,

@@ -10,14 +10,21 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from rollbook.functions import col
+from rollbook.functions import col, fold
 
 
 def _struct(order: Sequence[Column], *more: Column) -> Column:
     return F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], *more)
 
 
+def _folded(df: DataFrame, order: Sequence[str | Column]) -> list[str | Column]:
+    """Text columns given by name compare without case and trailing blanks."""
+    texts = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
+    return [fold(o) if isinstance(o, str) and o in texts else o for o in order]
+
+
 def _packed(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> Column:
     """One comparable struct per row: the order columns, then the remaining columns as tie breaker."""
     first = [o if isinstance(o, str) else o.alias(f"_o{i}") for i, o in enumerate(order)]
@@ -54,8 +61,8 @@ def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], ti
 
 
 def preferred(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
-    """Rows with the greatest attribute values per key; equal rows all stay."""
-    return latest(df, keys, order, ties=True)
+    """Rows with the greatest attribute values per key, texts without regard to case; equal rows all stay."""
+    return latest(df, keys, _folded(df, order), ties=True)
 
 
 def resolve_ties(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], preferred: Column,
@@ -81,7 +88,7 @@ def dedupe_preferred(df: DataFrame, keys: Sequence[str], required: Column,
 
     Equal rows all stay. One grouping counts the key and finds its best required attributes.
     """
-    order = [col(a) for a in attrs]
+    order = [col(a) for a in _folded(df, attrs)]
     top = (df.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])).groupBy(*keys)
            .agg(F.count(F.lit(1)).alias("_n"), F.max(F.when(required, _struct(order))).alias("_top"))
            .where((F.col("_n") > 1) & F.col("_top").isNotNull()))

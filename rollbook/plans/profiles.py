@@ -94,13 +94,10 @@ def school_environment(profiles: DataFrame) -> DataFrame:
 
     def full_name(kind: str) -> Column:
         return F.concat(F.col(f"{kind}_first_name"), F.col(f"{kind}_last_name"))
-
-    def link(c: str) -> Column:
-        return F.substring(c, 1, 500)
     columns: dict[str, Column | str] = {
         "social_media": F.when(social, "Y").otherwise("N"),
-        "twitter_link": when_flag(social, link("twitter_link")),
-        "facebook_link": when_flag(social, link("facebook_link")),
+        "twitter_link": when_flag(social, "twitter_link"),
+        "facebook_link": when_flag(social, "facebook_link"),
         "parent_org": F.when(org, "Y").otherwise("N"),
         "parent_org_link": when_flag(org, "parent_org_link"),
         "parent_org_poc": when_flag(poc, "parent_org_poc", "N"),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from rollbook.functions import (as_date, as_moment, band, clamp_min, dec, equals, fill_blank, fold, is_blank,
                                 is_false, label, midnight, moment, not_blank, one_of, precedes, recode,
-                                safe_div, text_us, trunc_int, yes_no)
+                                safe_div, text_us, to_scale, trunc_int, yes_no)
 from rollbook.operators import (anti, delete_not_in, eav_lookup, enrich, join_blank_safe, latest, max_level,
                                 override, propagate_flag, tag)
 from rollbook.operators.aggregates import from_36ths, minutes_36ths
@@ -254,30 +254,30 @@ def hours_columns(rows: DataFrame) -> DataFrame:
     week = F.col("units_per_day") * F.lit(300)
 
     def hours(minutes: Column) -> Column:
-        return dec(minutes / F.lit(60), 10, 2)
+        return to_scale(minutes / F.lit(60), 18, 2)
 
     def percent(share: Column, scale: int) -> Column:
-        return F.round(dec(share * F.lit(100), 10, scale), 0)
+        return F.round(to_scale(share * F.lit(100), 18, scale), 0)
     rows = rows.withColumns({
-        "aide_total_minutes": dec(F.coalesce(F.col("aide_minutes"), zero), 10, 4),
+        "aide_total_minutes": to_scale(F.coalesce(F.col("aide_minutes"), zero), 18, 4),
         "aide_hours": hours(F.col("aide_minutes")),
         "school_hours_per_week": F.col("units_per_day") * F.lit(5),
-        "total_minutes": dec(outside, 10, 4) + dec(inside, 10, 4),
+        "total_minutes": to_scale(outside, 18, 4) + to_scale(inside, 18, 4),
         "outside_hours": hours(outside), "inside_hours": hours(inside), "total_hours": hours(outside + inside),
         "outside_percent": clamp_min(percent(safe_div(outside, week), 2)),
-        "inside_percent": clamp_min(percent(safe_div(week - dec(outside, 10, 2), week), 2)),
+        "inside_percent": clamp_min(percent(safe_div(week - to_scale(outside, 18, 2), week), 2)),
         "lre": band(F.coalesce(percent(safe_div(F.col("outside_minutes"), week), 0), F.lit(0)), LRE_BANDS)})
     for name in ("outside_percent", "inside_percent"):
-        rows = rows.withColumn(name, dec(name, 10, 0))
-    rows = rows.withColumn("school_hours_per_week", dec("school_hours_per_week", 12, 2))
+        rows = rows.withColumn(name, to_scale(name, 18, 0))
+    rows = rows.withColumn("school_hours_per_week", to_scale("school_hours_per_week", 12, 2))
     return override(rows, equals("dedicated_aide", "no"), {"aide_total_minutes": 0, "aide_hours": None})
 
 
 def sped_level(report: DataFrame) -> DataFrame:
     """Total hours with the aide, and the support level by bands of it."""
-    hours = (F.coalesce("aide_hours", F.lit(0).cast("decimal(10,2)"))
-             + F.coalesce("total_hours", F.lit(0).cast("decimal(10,2)"))).cast("decimal(12,2)")
-    return (report.withColumn("total_hours_with_aide", hours)
+    hours = (F.coalesce("aide_hours", F.lit(0).cast("decimal(18,2)"))
+             + F.coalesce("total_hours", F.lit(0).cast("decimal(18,2)")))
+    return (report.withColumn("total_hours_with_aide", to_scale(hours, 18, 2))
             .withColumn("sped_level", band("total_hours_with_aide", [
                 (dec(F.lit(low), 12, 2), None if high is None else dec(F.lit(high), 12, 2), name)
                 for low, high, name in LEVEL_BANDS])))
@@ -338,8 +338,8 @@ def highest_levels(extracts: Sequence[DataFrame]) -> DataFrame:
 def plan_504(roster: DataFrame) -> DataFrame:
     """Greatest 504-plan flag per student and LEA, Y/N spelled out."""
     rows = (roster.where(not_blank("usi"))
-            .groupBy("usi", trunc_int("enrollment_responsible_lea_id").cast("int").alias("lea_code"))
-            .agg(F.max("accommodation_504").alias("accommodation_504")))
+            .groupBy("usi", trunc_int("enrollment_responsible_lea_id").alias("lea_code"))
+            .agg(F.max(F.struct(fold("accommodation_504"), F.col("accommodation_504").alias("text")))["text"].alias("accommodation_504")))
     return rows.withColumn("accommodation_504", yes_no("accommodation_504"))
 
 
@@ -348,8 +348,8 @@ def swd_sheet(sped: DataFrame, enrollments: DataFrame, levels: DataFrame, plans:
     """One row per student, LEA and enrolled name: IEP dates, disability, hours, levels, 504 plan."""
     rows = sped.select("studentcode", F.col("district_code").alias("lea_code"), "iep_begin_date", "iep_end_date",
                        "iep_created", "dated_id", "primary_disability_name", "total_hours_with_aide",
-                       "sped_level", trunc_int("district_code").cast("int").alias("_lea"))
-    people = (enrollments.select("usi", trunc_int("lea_code").cast("int").alias("_lea"), "first_name", "last_name",
+                       "sped_level", trunc_int("district_code").alias("_lea"))
+    people = (enrollments.select("usi", trunc_int("lea_code").alias("_lea"), "first_name", "last_name",
                                  "dob").distinct())
     rows = enrich(rows, [(people, {"studentcode": "usi", "_lea": "_lea"},
                           {"first_name": "first_name", "last_name": "last_name", "date_of_birth": "dob"})],

@@ -5,6 +5,8 @@ from pyspark.sql import SparkSession
 
 SETTINGS: dict[str, str] = {
     "spark.sql.session.timeZone": "UTC",
+    # computed values that overflow raise instead of becoming NULL
+    "spark.sql.ansi.enabled": "true",
     # runtime re-planning: small measured lookups are broadcast, hot join keys split, small partitions merged
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -13,21 +13,21 @@ SOURCES: dict[str, str] = {
         gender string, enrollment_grade_level_indicator string, race_ethnicity string, lea_code string,
         lea_name string, school_code string, school_name string, enrollment_date date, enrollment_code string,
         exit_date date, exit_code string, lep_indicator string""",
-    "sped_students": "id int, studentcode string, district_code string",
-    "sped_events": """id int, studentid int, district_code string, eventtype string, eventdate timestamp_ntz,
-        begindate timestamp_ntz, enddate timestamp_ntz, datecreated timestamp_ntz, parenteventid int,
+    "sped_students": "id bigint, studentcode string, district_code string",
+    "sped_events": """id bigint, studentid bigint, district_code string, eventtype string, eventdate timestamp_ntz,
+        begindate timestamp_ntz, enddate timestamp_ntz, datecreated timestamp_ntz, parenteventid bigint,
         sourcecustomername string, primary_disability string, inactive string""",
-    "iep_amendments": """studentcode string, studentid int, lea string, eventid int, iep_type string,
+    "iep_amendments": """studentcode string, studentid bigint, lea string, eventid bigint, iep_type string,
         amendment_category string""",
-    "service_history": """id int, studentid int, district_code string, eventid int, serviceid string,
+    "service_history": """id bigint, studentid bigint, district_code string, eventid bigint, serviceid string,
         service_text string, time_spent string, time_units string, time_period string, num_sessions string,
         location string, inactive string, begin_date date, end_date date, provider_id string,
         consultation string, extended_school_year string""",
     "service_types": "serviceid string, exclude_from_618 string",
-    "sped_schools": """schoolcode string, district_code string, name string, category int, units_per_day string,
+    "sped_schools": """schoolcode string, district_code string, name string, category bigint, units_per_day string,
         inactive string""",
-    "school_category": "id int, school_type string, description string",
-    "student_custom_data": "studentid int, district_code string, eventid int, name string, value string",
+    "school_category": "id bigint, school_type string, description string",
+    "student_custom_data": "studentid bigint, district_code string, eventid bigint, name string, value string",
     "student_race": "usi string, raceethnicity string, race_fin string",
     "primary_disabilities": "id string, name string, code_618 string, district_code string, inactive string",
     "district_by_lea": "district_code string",
@@ -42,9 +42,9 @@ SOURCES: dict[str, str] = {
         stage5_entry_date date, stage5_entry_code string, stage5_exit_code string, stage5_exit_date date""",
     "degree_schools": "school_id string, lea_id string, degree_granting string, non_granting string",
     "exit_enrollments": """usi string, leaid string, schoolid string, enrollment_exit_code string,
-        enrollment_exit_date date, exitstatusid int, workflowid int, school_year string""",
-    "exit_status": "exitstatusid int, display_status string",
-    "workflow_status": "statusid int, status string",
+        enrollment_exit_date date, exitstatusid bigint, workflowid bigint, school_year string""",
+    "exit_status": "exitstatusid bigint, display_status string",
+    "workflow_status": "statusid bigint, status string",
     "shift_leas": "lea_code string, school_year string",
     "indicators": "usi string, tanf string, snap string, cfsa string, housing_status string",
     "date_table": "date date",
@@ -94,7 +94,7 @@ TARGETS: dict[str, str] = {
         native_language_code string, category string""",
     "swd_sheet": """studentcode string, first_name string, last_name string, date_of_birth date,
         current_iep_start_date string, current_iep_end_date string, current_iep_amendment_date string,
-        current_primary_disability string, current_hours decimal(12,2), current_swd_level string,
+        current_primary_disability string, current_hours decimal(18,2), current_swd_level string,
         highest_swd_level string, accommodation_504 string, lea_code string""",
     "cohort_report": """lea_name string, lea_code string, school_name string, school_code string, usi string,
         first_name string, last_name string, date_of_birth date, acgr_universe string,

