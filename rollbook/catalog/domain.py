@@ -423,7 +423,8 @@ def cohort_current_status(t: Tables) -> DataFrame:
 @query("D17,P9,P10,J5,U2", with_feeds(["records", "degree_schools"], """
     SELECT DISTINCT usi, lea_code, school_code, current_enrolled_grade FROM records r
     WHERE current_enrolled_grade IN ('09', '9', '10', '11', '12') OR current_enrolled_grade LIKE 'C%'
-       OR (current_enrolled_grade NOT IN ('P3', '05', '08') AND EXISTS
+       OR (current_enrolled_grade NOT IN ('P3', 'PK3', 'PK4', 'KG', 'P4', '01', '1', '02', '2',
+         '03', '3', '04', '4', '05', '5', '06', '6', '07', '7', '08', '8') AND EXISTS
            (SELECT 1 FROM degree_schools d WHERE degree_granting = 'Y' AND school_id = school_code AND lea_id = lea_code))"""))
 def cohort_members(t: Tables) -> DataFrame:
     degree, _ = co.degree_lists(feed(t, "degree_schools"))
@@ -454,7 +455,8 @@ _COHORT = _RECORDS + """,
                         CASE WHEN enrollment_status <> 'Enrolled' THEN c.stage5_entry_date END AS cur_entry
                  FROM ini i LEFT JOIN chosen c ON c.usi = i.usi),
     member AS (SELECT * FROM with_cur w WHERE current_enrolled_grade IN ('09', '9', '10', '11', '12')
-                 OR current_enrolled_grade LIKE 'C%' OR (current_enrolled_grade NOT IN ('P3', '05', '08') AND EXISTS
+                 OR current_enrolled_grade LIKE 'C%' OR (current_enrolled_grade NOT IN ('P3', 'PK3', 'PK4', 'KG', 'P4', '01', '1', '02', '2',
+         '03', '3', '04', '4', '05', '5', '06', '6', '07', '7', '08', '8') AND EXISTS
                    (SELECT 1 FROM degree d WHERE d.school_id = w.school_code AND d.lea_id = w.lea_code))),
     shifted AS (SELECT m.* REPLACE (
                   CASE WHEN school_code IN (SELECT school_id FROM non_public) THEN 'Non-Public School'
@@ -477,16 +479,16 @@ _COHORT = _RECORDS + """,
                        WHEN coalesce(stage5_exit_code, '') = '' OR display ILIKE '%pending%'
                          OR display = 'OSSE NOt Accepted Exits' THEN 'Incomplete' ELSE 'Complete' END AS x FROM ind),
     flags AS (SELECT *,
-                ei = 'Exited' AND x = 'Incomplete' AND xc LIKE '194%' AS f_inc,
-                ei = 'Exited' AND x = 'Complete' AND xc LIKE '20%' AND cur_school IN (SELECT school_id FROM non_degree)
-                  AND (cur_school IN ('860', '861', '480', '7000') OR cur_lea = '4002') AS f_state,
-                ei = 'Exited' AND x = 'Complete' AND (xc LIKE '20%' AND cur_school IN (SELECT school_id FROM degree)
+                ei = 'Exited' AND x = 'Incomplete' AND xc IN ('1940', '1941', '1942', '1943', '1944') AS f_inc,
+                ei = 'Exited' AND x = 'Complete' AND xc IN ('2002', '2040', '2041', '2042', '2043') AND cur_school IN (SELECT school_id FROM non_degree)
+                  AND (cur_school IN ('860', '861', '480', '948', '958', '7000', '8100') OR cur_lea = '4002') AS f_state,
+                ei = 'Exited' AND x = 'Complete' AND (xc IN ('2002', '2040', '2041', '2042', '2043') AND cur_school IN (SELECT school_id FROM degree)
                   OR cur_school IN (SELECT school_id FROM non_public)) AS f_deg,
-                ei = 'Exited' AND x = 'Complete' AND xc LIKE '20%' AND cur_school IN (SELECT school_id FROM non_degree)
+                ei = 'Exited' AND x = 'Complete' AND xc IN ('2002', '2040', '2041', '2042', '2043') AND cur_school IN (SELECT school_id FROM non_degree)
                   AS f_non,
-                ei = 'Exited' AND (x = 'Incomplete' AND xc NOT LIKE '194%'
-                  OR x = 'Complete' AND xc NOT LIKE '194%' AND xc NOT LIKE '20%') AS f_no,
-                ei = 'Exited' AND x = 'Complete' AND xc LIKE '194%' AS f_out, ei = 'Enrolled' AS f_cur,
+                ei = 'Exited' AND (x = 'Incomplete' AND xc NOT IN ('1940', '1941', '1942', '1943', '1944')
+                  OR x = 'Complete' AND xc NOT IN ('1940', '1941', '1942', '1943', '1944') AND xc NOT IN ('2002', '2040', '2041', '2042', '2043')) AS f_no,
+                ei = 'Exited' AND x = 'Complete' AND xc IN ('1940', '1941', '1942', '1943', '1944') AS f_out, ei = 'Enrolled' AS f_cur,
                 lower(rtrim(school_name)) = 'non-public school' AS np FROM xi),
     spread AS (SELECT *, bool_or(np AND (f_cur OR f_no OR f_inc OR f_non)) OVER short AS g_idea,
                  bool_or(f_inc) OVER full_key AS g_inc, bool_or(f_state) OVER full_key AS g_state,
@@ -531,7 +533,7 @@ def cohort_responsibility(t: Tables) -> DataFrame:
         "exit_indicator", "lea_detail", "lea_indicator", "school_detail", "school_indicator").distinct()
 
 
-@query("S6,S10,U1", with_feeds(_COHORT_FEEDS, _COHORT + """
+@query("S10,U1", with_feeds(_COHORT_FEEDS, _COHORT + """
     SELECT DISTINCT lea_name, lea_code, school_name, school_code, usi, first_name, last_name, date_of_birth,
            'YES' AS acgr_universe, ei AS enrollment_indicator, x AS exit_indicator, v AS lea_indicator, det AS lea_detail,
            v AS school_indicator, det AS school_detail FROM final"""))
@@ -665,7 +667,7 @@ def _only(flag: str, value: str, otherwise: str = "''") -> str:
     return f"CASE WHEN {_yes(flag)} THEN {value} ELSE {otherwise} END"
 
 
-@query("D27,J3,P7,P10,F12,T12,S7", with_feeds([*_PIVOT_FEEDS, "master"], f""",
+@query("D27,J3,P7,P10,F12,T12", with_feeds([*_PIVOT_FEEDS, "master"], f""",
     sheet AS ({_pivot_sql("8003", pr.PARENT_LABELS)}),
     short AS (SELECT district, building, {", ".join(f'"{long}" AS {name}' for name, long in _SHEET_NAMES.items())} FROM sheet),
     prof AS (SELECT DISTINCT CASE m.school_code WHEN '141' THEN '9000' ELSE m.school_code END AS school, p.*, m.* EXCLUDE (school_code),

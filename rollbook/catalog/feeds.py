@@ -15,7 +15,7 @@ def _case(expr: str, values: list[str | None], otherwise: str) -> str:
 
 
 def _school(n: str) -> str:
-    return _case(n, ["947", "861", "480", "860", "7000"], f"CAST(300 + {n} AS STRING)")
+    return _case(n, ["947", "861", "480", "860", "7000", "948", "958", "8100", "862"], f"CAST(300 + {n} AS STRING)")
 
 
 def _lea(n: str) -> str:
@@ -29,12 +29,15 @@ def _label(n: str, labels: list[str]) -> str:
 
 
 _SPELL = "o_orderkey % 25"                      # school of an order
-_GRADE = _case("o_orderkey % 11", ["09", "10", "11", "12", "C1", "P3", "08", "AW", "9", "05"], "'AT'")
+# Every listed grade, exit code and school, and others just beside them.
+_GRADE = _case("o_orderkey % 37", ["09", "10", "11", "12", "C1", "P3", "08", "AW", "9", "05", "PK3", "PK4", "KG", "P4", "01", "1", "02", "2",
+                                   "03", "3", "04", "4", "5", "06", "6", "07", "7", "8", "09", "10", "11", "12", "13", "9", "C2"], "'AT'")
 _DAY = "CAST(o_orderdate AS DATE)"
 _TERM = "CAST(CAST(EXTRACT(YEAR FROM o_orderdate) AS STRING) || '-09-01' AS DATE)"
 # Orders with the school, LEA, exit code and exit day of the spell, each computed once.
-_EXIT_CODE = _case("o_custkey * 7 % 10 + o_orderkey % 3",
-                   ["1940", "1942", "2002", "2040", "2043", "1999", "", None, "1944", "2041", "2042"], "'2002'")
+_EXIT_CODE = _case("(o_custkey * 7 + o_orderkey) % 19",
+                   ["1940", "1941", "1942", "1943", "1944", "1945", "2002", "2040", "2041", "2042", "2043", "2044", "1999", "", None, "1939"],
+                   "'2002'")
 _EXIT_DAY = f"CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE {_DAY} + CAST(o_orderkey % 300 AS INT) END"
 _SPELLS = f"""(SELECT *, {_school(f'({_SPELL})')} AS school, {_EXIT_CODE} AS exit_code, {_EXIT_DAY} AS exit_day,
                  CASE WHEN o_orderkey % 17 = 0 THEN '104' ELSE {_lea(f'({_SPELL})')} END AS lea

@@ -465,7 +465,7 @@ def dq_missing(t: Tables) -> DataFrame:
     return rows.select("o_orderkey", "o_orderpriority")
 
 
-@query("Q4,O1", "SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_discount > l_tax AND l_returnflag = 'N'")
+@query("Q4", "SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_discount > l_tax AND l_returnflag = 'N'")
 def dq_rule(t: Tables) -> DataFrame:
     bad = op.dq_rule(t.lineitem, (F.col("l_discount") > F.col("l_tax")) & fn.equals("l_returnflag", "N"))
     return bad.select("l_orderkey", "l_linenumber", "l_partkey")

@@ -6,8 +6,9 @@ target is computed in full and written once.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,8 +33,15 @@ class Job:
     targets: Mapping[str, str]
     tables: bool = False
 
-    def source(self, name: str) -> DataFrame:
-        return land(self.spark, name, self.sources, self.staging)
+    run: str = field(default_factory=lambda: uuid.uuid4().hex)
+    landed: dict[str, DataFrame] = field(default_factory=dict)
+
+    def source(self, name: str, where: str | None = None) -> DataFrame:
+        """A source, landed once per run in a folder of its own, so that no other run's files are replaced."""
+        key = f"{name}:{where}"
+        if key not in self.landed:
+            self.landed[key] = land(self.spark, name, self.sources, f"{self.staging}/{self.run}/{len(self.landed)}", where)
+        return self.landed[key]
 
     def read_target(self, name: str) -> DataFrame:
         where = self.targets[name]

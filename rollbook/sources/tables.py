@@ -118,17 +118,36 @@ def release(*frames: DataFrame) -> None:
         spark._jvm.System.gc()
 
 
+def _replace(spark: SparkSession, new: str, target: str) -> None:
+    """Put a finished folder in the target's place: the old one steps aside by a rename and is deleted last."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    old = path(f"{target}.old-{uuid.uuid4().hex}")
+    had = files.exists(path(target))
+    if had and not files.rename(path(target), old):
+        raise OSError(f"cannot set {target} aside")
+    if not files.rename(path(new), path(target)):
+        if had:
+            files.rename(old, path(target))
+        raise OSError(f"cannot put {new} in place of {target}")
+    if had:
+        files.delete(old, True)
+
+
 def refresh(df: DataFrame, target: str, schema: str | StructType | None = None, *, table: bool = False) -> None:
     """Replace a target in full, columns by name and cast to ``schema``.
 
-    ``target`` is a path, or a catalog table with ``table=True``. The query must not read the target it replaces:
-    overwriting removes the old files first. Stage such a frame before.
+    ``target`` is a path, or a catalog table with ``table=True``. A path's new version is written beside the old one and
+    takes its place when it is complete, so a failed job leaves the target as it was. A catalog table is overwritten by Spark:
+    take a table format with atomic overwrite, and stage a query that reads the target it replaces.
     """
     if schema is not None:
         fields = (StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
         df = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in fields])
-    writer = df.write.mode("overwrite")
     if table:
-        writer.format("parquet").saveAsTable(target)
-    else:
-        writer.parquet(target)
+        df.write.mode("overwrite").format("parquet").saveAsTable(target)
+        return
+    target = target.rstrip("/")
+    new = f"{target}.new-{uuid.uuid4().hex}"
+    df.write.parquet(new)
+    _replace(df.sparkSession, new, target)

@@ -198,5 +198,5 @@ def test_refresh_jobs(spark, named, tmp_path):
     assert values(rf.refresh_at_risk(job, now), "usi", "at_risk") == [("1", "NO"), ("2", "YES")]
     assert values(rf.refresh_at_risk(job, now, derived=True), "usi", "at_risk") == [("1", "NO"), ("2", "YES")]
     assert values(rf.refresh_profiles(job), "school_code", "lea_code") == [("10", "1")]
-    plan = spark.read.parquet(str(tmp_path / "stage" / "sped_events")).where("inactive = '0' and eventtype = '2'")
+    plan = job.landed["sped_events:None"].where("inactive = '0' and eventtype = '2'")
     assert "EqualTo(inactive,0)" in plan._jdf.queryExecution().executedPlan().toString()
