@@ -76,7 +76,7 @@ def sorted_suffixes(symbols: np.ndarray, depth: int) -> np.ndarray:
         key = key << np.uint64(9) | padded[j:j + n]
     have = 7
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         ranked = key[order]
         rank = np.empty(n, np.uint64)
         rank[order] = np.cumsum(np.append(np.uint64(1), (ranked[1:] != ranked[:-1]).astype(np.uint64)))
@@ -118,11 +118,17 @@ def boundaries(symbols: np.ndarray, order: np.ndarray, length: int) -> np.ndarra
         if common:
             keep = symbol > 0
             owner, symbol, lo, hi = owner[keep], symbol[keep], lo[keep], hi[keep]
-        # runs of one symbol in one interval are neighbours after the extension
-        group = owner * 257 + symbol
-        by = np.argsort(group, kind="stable")
-        new = np.flatnonzero(np.append(True, group[by][1:] != group[by][:-1])) if len(by) else by
-        low, high = lo[by][new], hi[by][np.append(new[1:], len(by)) - 1] if len(by) else hi
+        # runs of one symbol in one interval are neighbours after the extension; most intervals are a single run
+        alone = count[owner] == 1
+        many = np.flatnonzero(~alone)
+        if len(many):
+            by = many[np.argsort(owner[many] * 257 + symbol[many], kind="stable")]
+            group = owner[by] * 257 + symbol[by]
+            new = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+            low = np.concatenate([lo[alone], lo[by[new]]])
+            high = np.concatenate([hi[alone], hi[by[np.append(new[1:], len(by)) - 1]]])
+        else:
+            low, high = lo, hi
         fresh = ~known[high]
         low, high = low[fresh], high[fresh]
         known[high] = True
