@@ -18,7 +18,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollbook.llm.common import let
-from rollbook.sources.tables import stage
 
 K, W = 20, 32
 SEGMENT = 2048
@@ -32,7 +31,7 @@ def _least(values: Column, w: int) -> Column:
             return at
         to = min(2 * have, w)
         step = to - have
-        longer = let(at, lambda a: F.transform(F.sequence(F.lit(1), F.size(a) - step), lambda i: F.least(F.element_at(a, i), F.element_at(a, i + step))))
+        longer = let(at, lambda a: F.zip_with(F.slice(a, 1, F.size(a) - step), F.slice(a, step + 1, F.size(a) - step), lambda x, y: F.least(x, y)))
         return halves(to, longer)
     return let(values, lambda v: F.when(F.size(v) <= w, F.array(F.array_min(v))).otherwise(halves(1, v)))
 
@@ -55,21 +54,23 @@ def segments(text: Column, k: int = K, w: int = W, size: int = SEGMENT) -> Colum
         i.alias("nth"), F.concat(s, F.substring(F.coalesce(F.get(c, i + 1), F.lit("")), 1, more)).alias("segment"))))
 
 
-def fingerprints(texts: DataFrame, ids: list[str], text_col: str, k: int = K, w: int = W) -> DataFrame:
-    """(ids, hashes, fingerprint) of each row: sorted distinct selected hashes, and 'hash@position' in order of position.
-
-    ``ids`` must tell the rows apart. Rows with an empty text come out with no hashes.
-    """
-    rows = texts.select(*ids, F.explode_outer(segments(F.coalesce(F.col(text_col), F.lit("")), k, w)).alias("s"))
-    nth, segment = F.col("s.nth"), F.col("s.segment")
+def places(text: Column, k: int = K, w: int = W) -> Column:
+    """Distinct (hash, position) numbers of a whole text, segment by segment; none for an empty one."""
     # a short rest behind a full piece lies wholly in the piece before it, but for windows that begin in it
-    usable = (nth == 0) | (F.length(segment) >= w + k - 1)
-    chosen = rows.select(*ids, F.when(usable, selected(segment, nth * SEGMENT, k, w)).alias("chosen"))
-    whole = chosen.groupBy(*ids).agg(F.array_distinct(F.flatten(F.collect_list("chosen"))).alias("chosen"))
+    return F.array_distinct(F.flatten(F.transform(segments(text, k, w), lambda s: F.when(
+        (s["nth"] == 0) | (F.length(s["segment"]) >= w + k - 1), selected(s["segment"], s["nth"] * SEGMENT, k, w))
+        .otherwise(F.array().cast("array<bigint>")))))
+
+
+def hashes_of(chosen: Column) -> Column:
+    return F.array_distinct(F.transform(chosen, lambda c: F.shiftrightunsigned(c, POSITION_BITS)))
+
+
+def fingerprint_of(chosen: Column) -> Column:
+    """'hash@position' in order of position."""
     mask = (1 << POSITION_BITS) - 1
-    pairs = F.array_sort(F.transform("chosen", lambda c: F.struct((F.lit(mask) - c.bitwiseAND(F.lit(mask))).alias("at"), F.shiftrightunsigned(c, POSITION_BITS).alias("h"))))
-    return whole.select(*ids, F.array_sort(F.array_distinct(F.transform("chosen", lambda c: F.shiftrightunsigned(c, POSITION_BITS)))).alias("hashes"),
-                        F.array_join(F.transform(pairs, lambda p: F.concat(F.lower(F.hex(p["h"])), F.lit("@"), p["at"].cast("string"))), " ").alias("fingerprint"))
+    pairs = F.array_sort(F.transform(chosen, lambda c: F.struct((F.lit(mask) - c.bitwiseAND(F.lit(mask))).alias("at"), F.shiftrightunsigned(c, POSITION_BITS).alias("h"))))
+    return F.array_join(F.transform(pairs, lambda p: F.concat(F.lower(F.hex(p["h"])), F.lit("@"), p["at"].cast("string"))), " ")
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -79,46 +80,42 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(union == 0, F.lit(1.0)).otherwise(both / union)
 
 
-def with_next(docs: DataFrame, id_col: str) -> DataFrame:
-    """(place, id, n_chars, next_place): rows in ascending order of id, each with the next one's place, the last with the first's.
-
-    Ids are dealt out by ranges and written; the next row is looked up within a range, and only one row per range is
-    compared across ranges. Ties are in order of a hash of the text, NULL ids first.
-    """
-    ranged = stage(docs.repartitionByRange(F.col(id_col).asc_nulls_first(), F.col("mark")).withColumn("part", F.spark_partition_id()))
-    order = Window.partitionBy("part").orderBy(F.col(id_col).asc_nulls_first(), "mark", "place")
-    inner = ranged.withColumn("next_place", F.lead("place").over(order))
-    heads = ranged.groupBy("part").agg(F.min_by("place", F.struct(id_col, "mark", "place")).alias("head"))
-    following = heads.agg(F.array_sort(F.collect_list(F.struct("part", "head"))).alias("all"))  # one row per range
-    after = following.select(F.inline(F.transform("all", lambda h, i: F.struct(
-        h["part"].alias("part"), F.get("all", F.pmod(i + 1, F.size("all")))["head"].alias("after")))))
-    return (inner.join(F.broadcast(after), "part").withColumn("next_place", F.coalesce("next_place", "after")).drop("after", "part"))
-
-
 def compared(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_chars, edited, fingerprint, edited_fingerprint, near_edited, near_next).
 
-    The edited text has its last floor(n / 2) code points replaced by the first as many of the next document.
+    The edited text has its last floor(n / 2) code points replaced by the first as many of the next document, in ascending order
+    of id (NULL first, ties by a hash of the text); the last one's next is the first. Documents are dealt out once, by ranges of
+    ids as even as the quantiles make them; the next row is found within a range, and of each range the first id (one
+    row a range) tells the range before which text follows its last row.
     """
+    session = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
-    base = stage(docs.select(F.col(id_col).alias("id"), text.alias("text"), F.monotonically_increasing_id().alias("place")))
-    order = with_next(base.select("place", "id", F.length("text").alias("n_chars"), F.xxhash64("text").alias("mark")), "id").drop("mark")
-    order = stage(order)
-    texts = base.select("place", "text")
-    half = F.floor(F.col("n_chars") / 2).cast("int")
-    heads = (order.select(F.col("place").alias("owner"), F.col("next_place").alias("place"), half.alias("half")).join(texts, "place")
-             .select(F.col("owner").alias("place"), F.substring(F.col("text"), F.lit(1), F.col("half")).alias("head")))
-    edited = (texts.join(order, "place").join(heads, "place")
-              .select("place", F.concat(F.substring(F.col("text"), F.lit(1), F.col("n_chars") - half), F.col("head")).alias("text")))
-    edited = stage(edited)
-    both = fingerprints(texts.select("place", F.lit(0).alias("kind"), "text").union(edited.select("place", F.lit(1).alias("kind"), "text")),
-                        ["place", "kind"], "text")
-    prints = stage(both)
-    own = prints.where("kind = 0").drop("kind")
-    other = prints.where("kind = 1").select("place", F.col("hashes").alias("edited_hashes"), F.col("fingerprint").alias("edited_fingerprint"))
-    following = own.select(F.col("place").alias("next_place"), F.col("hashes").alias("next_hashes"))
-    return (order.join(own, "place").join(other, "place").join(edited.select("place", F.col("text").alias("edited")), "place")
-            .join(following, "next_place")
-            .select(F.col("id").alias(id_col), F.col("n_chars").cast("long").alias("n_chars"), "edited", "fingerprint", "edited_fingerprint",
-                    likeness(F.col("hashes"), F.col("edited_hashes")).alias("near_edited"),
-                    likeness(F.col("hashes"), F.col("next_hashes")).alias("near_next")))
+    base = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("mark"))
+    parts = int(session.conf.get("spark.sql.shuffle.partitions"))
+    cuts = base.agg(F.percentile_approx("id", [i / parts for i in range(1, parts)], 10 * parts)).head()[0] if parts > 1 else []
+    cuts = sorted(set(cuts or []))
+    part = F.size(F.filter(F.lit(cuts), lambda c: c < F.col("id"))) if cuts else F.lit(0)
+    rows = base.withColumn("part", F.when(F.col("id").isNull(), 0).otherwise(part))
+    known = F.struct(F.col("id").isNotNull().alias("known"), "id", "mark")
+    first = sorted((r["part"], r["head"]) for r in rows.groupBy("part").agg(F.min(known).alias("head")).collect())
+    if not first:
+        heads = rows.select("part", F.col("text").alias("head_text"))
+    else:
+        follows = [(p, first[(i + 1) % len(first)][1]) for i, (p, _) in enumerate(first)]
+        wanted = F.array(*[F.struct(F.lit(p).alias("of_part"), F.lit(h["id"]).cast("long").alias("head_id"), F.lit(h["mark"]).alias("head_mark"))
+                           for p, h in follows])
+        wanted = session.range(1).select(F.inline(wanted))
+        heads = (rows.join(F.broadcast(wanted), F.col("id").eqNullSafe(F.col("head_id")) & (F.col("mark") == F.col("head_mark")))
+                 .select(F.col("of_part").alias("part"), F.col("text").alias("head_text")).dropDuplicates(["part"]))
+    order = Window.partitionBy("part").orderBy(F.col("id").asc_nulls_first(), "mark")
+    placed = rows.join(heads.hint("shuffle_hash"), "part", "left").withColumn("inner", F.lead("text").over(order))
+    n, half = F.length("text"), F.floor(F.length("text") / 2).cast("int")
+    edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.coalesce("inner", "head_text"), F.lit(1), half))
+    marked = placed.select("part", "id", "mark", n.cast("long").alias("n_chars"), edited.alias("edited"), places(F.col("text")).alias("own"),
+                           F.when(F.col("inner").isNull(), hashes_of(places(F.col("head_text")))).alias("head_hashes"))
+    marked = marked.withColumns({"hashes": hashes_of(F.col("own")), "changed": places(F.col("edited"))})
+    marked = marked.withColumn("next_hashes", F.coalesce(F.lead("hashes").over(order), "head_hashes"))
+    return marked.select(F.col("id").alias(id_col), "n_chars", "edited", fingerprint_of(F.col("own")).alias("fingerprint"),
+                         fingerprint_of(F.col("changed")).alias("edited_fingerprint"),
+                         likeness(F.col("hashes"), hashes_of(F.col("changed"))).alias("near_edited"),
+                         likeness(F.col("hashes"), F.col("next_hashes")).alias("near_next"))

@@ -7,6 +7,7 @@ import pytest
 
 import brute
 import corpus_pipeline
+from pyspark.sql import functions as F
 from rollbook.llm import (bpe, components, decontaminate, language_id, licenses, line_dedup, minhash, substring_dedup,
                           suffix_dedup, warc, winnowing)
 from rollbook.llm.queries import TOKENIZER
@@ -197,7 +198,7 @@ def test_winnowing(odd, none):
 
 def test_winnowing_keeps_positions_across_segments(spark):
     text = " ".join(f"w{i * 7919 % 10007}" for i in range(1500))
-    row = winnowing.fingerprints(spark.createDataFrame([(1, text)], "i long, text string"), ["i"], "text").head()
+    row = spark.createDataFrame([(text,)], "text string").select(winnowing.fingerprint_of(winnowing.places(F.col("text"))).alias("fingerprint")).head()
     places = [int(p.split("@")[1]) for p in row.fingerprint.split(" ")]
     assert places == sorted(places) and max(b - a for a, b in zip(places, places[1:])) <= winnowing.W
     assert places[0] < winnowing.W and places[-1] >= len(text) - winnowing.K - winnowing.W + 1
