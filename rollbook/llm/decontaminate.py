@@ -118,6 +118,7 @@ def contaminations(docs: DataFrame, items: DataFrame, size: int = 5, percent: in
     index = (_with_blocks(item_prints).select("item_id", "m", F.col("print").alias("item_print"), F.col("total").alias("item_total"),
                                               "block", "value", F.explode(masks).alias("mask"))
              .withColumn("value", F.col("value").bitwiseXOR(F.col("mask"))).drop("mask"))
+    index = stage(index)  # so that its size is known: by the size of the items alone it would be taken for small and broadcast
     near = (_with_blocks(prints).join(index, ["m", "block", "value"])
             .where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS)
             .select(*ids, "total", "item_id", "item_total").distinct())
