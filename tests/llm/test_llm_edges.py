@@ -1,5 +1,6 @@
 """NULLs, empty and long texts, ties, repeated rows, empty tables and clashing columns, for each operator and stage."""
 import struct
+import textwrap
 import zlib
 
 import public_tokenizers
@@ -162,6 +163,25 @@ def test_licenses(odd, none, frame):
     assert licenses.scan(odd, model).count() == 0 and licenses.scan(none, licenses.train([])).count() == 0
 
 
+@pytest.mark.parametrize("mark", ["", " * ", "# "])
+def test_wrapped_licenses(spark, frame, mark):
+    wrap = lambda text, width=72: "\n".join(mark + x for x in textwrap.wrap(text, width))
+    mit = ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "
+           "\"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, "
+           "distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so.")
+    gpl = ("This program is free software{} you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
+           "the Free Software Foundation{} either version {} of the License, or (at your option) any later version.")
+    bsd = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
+    lgpl = gpl.replace("GNU General", "GNU Lesser General").replace("program", "library").format(";", ";", "2.1")
+    texts = {"MIT": mit, "GPL-3.0": gpl.format(":", ",", 3), "GPL-2.0": gpl.format(";", ";", 2), "BSD-3-Clause": bsd, "LGPL-2.1": lgpl}
+    rows = [(n, f"int x;\n\n{mark}Copyright 2020 Some Body\n{wrap(t)}\n\nint main();") for n, t in enumerate(texts.values())]
+    rows += [(20, "x\nMIT License\ny"), (21, "not under the MIT License here"), (22, "This project is licensed under\n\nthe terms of the MIT license."), (23, wrap(mit) + "\n\n" + wrap(bsd))]
+    found = licenses.scan(frame("doc_id long, text string", rows), licenses.train([])).collect()
+    assert {(r.doc_id, r.family) for r in found} == {*enumerate(texts), (20, "MIT"), (23, "MIT"), (23, "BSD-3-Clause")}
+    spans = {r.doc_id: (r.paragraph, r.last_line) for r in found if r.doc_id in (0, 20)}
+    assert spans[20] == (1, 1) and spans[0][0] == 3 and spans[0][1] >= 7
+
+
 def test_warc(spark, tmp_path, frame):
     pages = frame("page_id long, url string, html string, title string", [
         (1, "http://a/é", '<html lang="fr"><head><title>T &amp;\n U</title></head><body><!-- x --><p>Un<br>deux</p><script>x("</p>")</script><a href="/b">b</a></body></html>'),
