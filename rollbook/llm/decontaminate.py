@@ -1,8 +1,9 @@
 """Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming blocks, exact verification.
 
 All steps are DataFrame functions. A document's windows have as many words as a benchmark item (all its words, if it has
-fewer) and lie where a shingle of ``size`` words stands in the document at the place it has in the item; windows that
-share no shingle with an item have similarity 0 and are not formed. Each window and item gets a 64-bit SimHash of its
+fewer) and start at any word. A document and an item are compared if the shingles of ``size`` words they share weigh
+enough for the item, and of its windows those are formed whose shared shingles weigh enough, each counted as often as it
+stands there: both bounds are at least the exact sum, so no window that is similar enough is passed over. Each window and item gets a 64-bit SimHash of its
 shingles, weighted by their length. Fingerprints are cut into four blocks of 16 bits: two within ``RADIUS`` = 19 bits
 agree in some block up to 4 bits, so an index of every block value within 4 bits of an item's finds all of them by
 equality. What it finds is verified exactly: 100 * sum of the lesser weights >= percent * sum of the greater weights,
@@ -42,6 +43,12 @@ def _shingles(words: Column, k: Column) -> Column:
                        lambda i: F.array_join(F.slice(words, i, k), " "))
 
 
+def _hashes(words: Column, k: Column) -> Column:
+    """(h, n) of each shingle: hash and length as a text."""
+    return F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - k + 1, F.lit(1))), lambda i: F.struct(
+        F.xxhash64(F.slice(words, i, k)).alias("h"), F.length(F.array_join(F.slice(words, i, k), " ")).cast("long").alias("n")))
+
+
 def _weighed(df: DataFrame, ids: list[str], words: str) -> DataFrame:
     """(ids, g, weight): the multiset of shingles with the summed length of each."""
     g = df.select(*ids, F.explode(_shingles(F.col(words), F.col("k"))).alias("g"))
@@ -83,35 +90,49 @@ def contaminations(docs: DataFrame, items: DataFrame, size: int = 5, percent: in
     ``key`` tells rows with the same id and different texts apart; start_word counts from 0.
     """
     items = stage(item_shingles(items, size, item_col, "text"))
-    places = stage(items.select("m", "k", F.posexplode(F.transform(
-        F.sequence(F.lit(1), F.col("m") - F.col("k") + 1), lambda i: F.xxhash64(F.slice("words", i, F.col("k"))))).alias("o", "h")).distinct())
+    in_items = stage(_weighed(items, ["item_id", "m"], "words"))
+    seeds = stage(items.select("item_id", "m", "k", F.explode(_hashes(F.col("words"), F.col("k"))).alias("s")).groupBy("item_id", "m", "k", "s.h")
+                  .agg(F.count("*").alias("c"), F.max("s.n").alias("n")))
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     own = own.withColumn("key", _key("doc_id", "text"))
 
-    hits = None
-    small = places.count() <= BROADCAST_ROWS
+    shared = None
+    small = seeds.count() <= BROADCAST_ROWS
+    hint = F.broadcast if small else (lambda df: df)
     for k in sorted(r[0] for r in items.select("k").distinct().collect()):  # at most ``size`` values
         at = let(_words(F.col("text")), lambda w: F.when(F.size(w) >= k, F.transform(
             F.sequence(F.lit(1), F.size(w) - k + 1), lambda i: F.xxhash64(F.slice(w, i, k)))))
-        here = places.where(F.col("k") == k)
-        one = (own.select("key", F.posexplode(at).alias("pos", "h")).join(F.broadcast(here) if small else here, "h")
-               .select("key", "m", "k", (F.col("pos") - F.col("o")).alias("start")))
-        hits = one if hits is None else hits.union(one)
-    if hits is None:
+        here = seeds.where(F.col("k") == k)
+        one = (own.select("key", F.explode(at).alias("h")).join(hint(here.select("h").distinct()), "h", "left_semi")
+               .groupBy("key", "h").agg(F.count("*").alias("d")).join(hint(here), "h"))
+        shared = one if shared is None else shared.unionByName(one)
+    if shared is None:
         return own.select("key", "doc_id", F.lit(None).cast(items.schema["item_id"].dataType).alias("item_id"),
                           F.lit(0.0).alias("similarity"), F.lit(0).alias("start_word"), F.lit(0).alias("n_words")).limit(0)
-    hits = stage(hits.groupBy("key").agg(F.collect_set(F.struct("m", "k", "start")).alias("hits")))
+    of_item = in_items.groupBy("item_id", "m").agg(F.sum("weight").alias("item_total"))
+    of_item = seeds.groupBy("item_id", "m", "k").agg(F.collect_set("h").alias("wanted")).join(of_item, ["item_id", "m"])
+    possible = (shared.groupBy("key", "item_id", "m", "k").agg(F.sum(F.least("c", "d") * F.col("n")).alias("most"))
+                .join(of_item, ["item_id", "m", "k"]).where(100 * F.col("most") >= percent * F.col("item_total")).drop("most"))
 
     def cut(w: Column) -> Column:
-        placed = F.array_distinct(F.transform("hits", lambda s: F.struct(
-            s["m"].alias("m"), s["k"].alias("k"), F.greatest(F.lit(0), F.least(s["start"], F.size(w) - s["m"])).alias("start"))))
-        return F.transform(placed, lambda s: F.struct(s["m"].alias("m"), s["k"].alias("k"), s["start"].alias("start"),
-                                                      F.slice(w, s["start"] + 1, s["m"]).alias("words")))
+        """The windows whose shared shingles, each counted as often as it stands there, could be enough."""
+        span = F.least(F.col("m"), F.size(w)) - F.col("k") + 1
+
+        def weighed(s: Column) -> Column:
+            def measured(i: Column) -> Column:
+                inside = F.slice(s, i + 1, span)
+                add = lambda name: F.aggregate(inside, F.lit(0).cast("long"), lambda x, y: x + y[name])
+                return F.struct(i.alias("start"), add("n").alias("total"), add("hit").alias("most"))
+            each = F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - F.col("m"), F.lit(0))), measured)
+            enough = F.filter(each, lambda x: 100 * x["most"] >= percent * (x["total"] + F.col("item_total") - x["most"]))
+            return F.transform(enough, lambda x: F.struct(x["start"].alias("start"), F.slice(w, x["start"] + 1, F.col("m")).alias("words")))
+        hit = lambda x: F.struct(x["n"].alias("n"), F.when(F.array_contains("wanted", x["h"]), x["n"]).otherwise(0).alias("hit"))
+        return let(F.transform(_hashes(w, F.col("k")), hit), weighed)
 
     ids = ["key", "doc_id", "m", "start"]
-    windows = stage(own.join(hits, "key").select("key", "doc_id", F.inline(let(_words(F.col("text")), cut)))
-                    .dropDuplicates(ids))
-    in_windows, in_items = stage(_weighed(windows, ids, "words")), stage(_weighed(items, ["item_id", "m"], "words"))
+    windows = stage(own.join(possible, "key").select("key", "doc_id", "item_id", "m", "k", "item_total",
+                                                     F.inline(let(_words(F.col("text")), cut))))
+    in_windows = stage(_weighed(windows.dropDuplicates(ids), ids, "words"))
     prints, item_prints = stage(_simhash(in_windows, ids)), stage(_simhash(in_items, ["item_id", "m"]))
 
     masks = F.transform(F.lit(MASKS), lambda x: x.cast("long"))

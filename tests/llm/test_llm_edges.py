@@ -130,6 +130,24 @@ def test_decontamination(spark, odd, none):
     assert decontaminate.clean_documents(odd, items.limit(0)).count() == len(ROWS)
 
 
+def leaks_by_brute_force(frame, docs, texts):
+    items = list(enumerate(texts))
+    found = decontaminate.contaminations(frame("doc_id long, text string", docs), frame("item_id long, text string", items))
+    return {(r.doc_id, r.item_id) for r in found.collect()}, brute.leaks(docs, items)
+
+
+def test_truncated_passages_behind_a_long_token(frame):
+    texts, docs = [], []
+    for n in range(20):
+        own = [f"w{(7 * n + 13 * i * i) % 9973}x{i}" for i in range(60 + 2 * n)]
+        cut = 3 + n % 6
+        texts.append(" ".join(own))
+        docs.append((n, " ".join(f"front{n}x{i}" for i in range(30)) + f" {'u' * (30 + 5 * (n % 7))} " + " ".join(own[cut:]) + f" end{n} of it"))
+        docs.append((100 + n, " ".join(own[:-cut]) + f" {'u' * 40} tail{n} more"))
+    found, wanted = leaks_by_brute_force(frame, docs, texts)
+    assert found == wanted and len([d for d, _ in wanted if d < 100]) >= 8
+
+
 def test_bpe(odd, none):
     rows = bpe.encode_documents(odd, TOKENIZER, public_tokenizers.PATTERN).collect()
     encoding = brute.encoding()
