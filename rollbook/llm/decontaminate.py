@@ -1,13 +1,11 @@
-"""Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming blocks, exact verification.
+"""Benchmark decontamination: item-sized windows at every start, bounds on their shared shingles, exact verification.
 
 All steps are DataFrame functions. A document's windows have as many words as a benchmark item (all its words, if it has
 fewer) and start at any word. A document and an item are compared if the shingles of ``size`` words they share weigh
 enough for the item, and of its windows those are formed whose shared shingles weigh enough, each counted as often as it
-stands there: both bounds are at least the exact sum, so no window that is similar enough is passed over. Each window and item gets a 64-bit SimHash of its
-shingles, weighted by their length. Fingerprints are cut into four blocks of 16 bits: two within ``RADIUS`` = 19 bits
-agree in some block up to 4 bits, so an index of every block value within 4 bits of an item's finds all of them by
-equality. What it finds is verified exactly: 100 * sum of the lesser weights >= percent * sum of the greater weights,
-over the multisets of shingles.
+stands there: both bounds are at least the exact sum, so no window that is similar enough is passed over. Every pair of such a
+window and its item is verified exactly: 100 * sum of the lesser weights >= percent * sum of the greater weights, over the multisets of shingles.
+There is no fingerprint before it, so the miss rate is 0 but for clashes of 64-bit keys.
 
 Defined results: words are lower-cased and apart at ASCII blanks. NULL or empty texts and items match nothing. Items of
 fewer than ``size`` words are one shingle. Repeated items are found each; repeated rows of a document give one row per
@@ -21,12 +19,8 @@ from pyspark.sql import functions as F
 from rollbook.llm.common import blank_split, let
 from rollbook.sources.tables import stage
 
-BLOCKS, FLIPS = 4, 4
-RADIUS = BLOCKS * (FLIPS + 1) - 1
 #: Item shingles are broadcast up to this many rows (about 32 bytes each), and joined by shuffling beyond.
 BROADCAST_ROWS = 500_000
-#: 16-bit masks with at most FLIPS bits.
-MASKS = [m for m in range(1 << 16) if m.bit_count() <= FLIPS]
 
 
 def _words(text: Column) -> Column:
@@ -55,28 +49,6 @@ def _weighed(df: DataFrame, ids: list[str], words: str) -> DataFrame:
     return g.groupBy(*ids, "g").agg((F.count("*") * F.length("g")).alias("weight"))
 
 
-def _simhash(weighed: DataFrame, ids: list[str]) -> DataFrame:
-    """(ids, total, print): each of 32 sums counts the weight of two bits, 32 bits apart."""
-    h = weighed.withColumn("h", F.xxhash64("g"))
-    sums = [F.sum(F.shiftrightunsigned("h", i).bitwiseAND(F.lit(0x100000001)) * F.col("weight")).alias(f"s{i}") for i in range(32)]
-    summed = h.groupBy(*ids).agg(F.sum("weight").alias("total"), *sums)
-    result = F.lit(0).cast("long")
-    for i in range(32):
-        low, high = F.col(f"s{i}").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(f"s{i}", 32)
-        for bit, count in ((i, low), (i + 32, high)):
-            result = result.bitwiseOR(F.shiftleft((2 * count > F.col("total")).cast("long"), bit))
-    return summed.select(*ids, "total", result.alias("print"))
-
-
-def _block(b: int) -> Column:
-    return F.shiftrightunsigned("print", 16 * b).bitwiseAND(F.lit(0xFFFF))
-
-
-def _with_blocks(df: DataFrame) -> DataFrame:
-    blocks = F.array(*[F.struct(F.lit(b).alias("block"), _block(b).alias("value")) for b in range(BLOCKS)])
-    return df.select("*", F.inline(blocks))
-
-
 def item_shingles(items: DataFrame, size: int, item_col: str, text_col: str) -> DataFrame:
     """(item_id, m, k, words) of the items that have words."""
     return (items.select(F.col(item_col).alias("item_id"), _words(F.col(text_col)).alias("words")).where(F.size("words") > 0)
@@ -125,24 +97,15 @@ def contaminations(docs: DataFrame, items: DataFrame, size: int = 5, percent: in
                 return F.struct(i.alias("start"), add("n").alias("total"), add("hit").alias("most"))
             each = F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - F.col("m"), F.lit(0))), measured)
             enough = F.filter(each, lambda x: 100 * x["most"] >= percent * (x["total"] + F.col("item_total") - x["most"]))
-            return F.transform(enough, lambda x: F.struct(x["start"].alias("start"), F.slice(w, x["start"] + 1, F.col("m")).alias("words")))
+            return F.transform(enough, lambda x: F.struct(x["start"].alias("start"), x["total"].alias("total"), F.slice(w, x["start"] + 1, F.col("m")).alias("words")))
         hit = lambda x: F.struct(x["n"].alias("n"), F.when(F.array_contains("wanted", x["h"]), x["n"]).otherwise(0).alias("hit"))
         return let(F.transform(_hashes(w, F.col("k")), hit), weighed)
 
     ids = ["key", "doc_id", "m", "start"]
     windows = stage(own.join(possible, "key").select("key", "doc_id", "item_id", "m", "k", "item_total",
                                                      F.inline(let(_words(F.col("text")), cut))))
-    in_windows = stage(_weighed(windows.dropDuplicates(ids), ids, "words"))
-    prints, item_prints = stage(_simhash(in_windows, ids)), stage(_simhash(in_items, ["item_id", "m"]))
-
-    masks = F.transform(F.lit(MASKS), lambda x: x.cast("long"))
-    index = (_with_blocks(item_prints).select("item_id", "m", F.col("print").alias("item_print"), F.col("total").alias("item_total"),
-                                              "block", "value", F.explode(masks).alias("mask"))
-             .withColumn("value", F.col("value").bitwiseXOR(F.col("mask"))).drop("mask"))
-    index = stage(index)  # so that its size is known: by the size of the items alone it would be taken for small and broadcast
-    near = (_with_blocks(prints).join(index, ["m", "block", "value"])
-            .where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS)
-            .select(*ids, "total", "item_id", "item_total").distinct())
+    in_windows = _weighed(windows.dropDuplicates(ids), ids, "words")
+    near = windows.select(*ids, "total", "item_id", "item_total").distinct()
     common = (near.join(in_windows, ids).join(in_items.withColumnRenamed("weight", "item_weight"), ["item_id", "m", "g"])
               .groupBy(*ids, "item_id", "total", "item_total").agg(F.sum(F.least("weight", "item_weight")).alias("lesser")))
     greater = F.col("total") + F.col("item_total") - F.col("lesser")

@@ -148,6 +148,17 @@ def test_truncated_passages_behind_a_long_token(frame):
     assert found == wanted and len([d for d, _ in wanted if d < 100]) >= 8
 
 
+def test_passages_with_one_long_word(frame):
+    texts, docs = [], []
+    for n in range(24):
+        own = [f"w{(7 * n + 13 * i * i) % 9973}x{i}" for i in range(200)]
+        texts.append(" ".join(own))
+        own[50 + n] = "".join(chr(97 + (n * i + i * i) % 26) for i in range(100 + 4 * n))
+        docs.append((n, f"front{n} " + " ".join(own) + f" end{n}"))
+    found, wanted = leaks_by_brute_force(frame, docs, texts)
+    assert found == wanted and len(wanted) == 24
+
+
 def test_bpe(odd, none):
     rows = bpe.encode_documents(odd, TOKENIZER, public_tokenizers.PATTERN).collect()
     encoding = brute.encoding()
