@@ -157,6 +157,30 @@ def op4_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("conversion_record", 256).alias("conversion_sha256"))
 
 
+#: The other half: the metadata record, and the outlinks in order, one a line.
+METADATA_SQL = WARC_SQL[:WARC_SQL.rindex("FROM x") + 6].rpartition("\nSELECT page_id")[0] + rf""",
+o AS (SELECT *, {_SQL_UUID.format('hm')} AS metadata_id, {_SQL_UUID.format('hc')} AS conversion_id, chr(13) || chr(10) AS nl,
+             regexp_extract(html, '(?i)<html[^>]* lang="([^"]*)"', 1) AS lang, regexp_extract_all(html, '(?i)<a [^>]*href="([^"]*)"', 1) AS every FROM x),
+l AS (SELECT *, list_filter(every, lambda v, i: list_position(every, v) = i) AS links FROM o),
+f AS (SELECT *, 'title: ' || replace(title, chr(10), ' ') || nl || 'language: ' || lang || nl || 'source-header: HTTP/1.1 200 OK' || nl
+             || 'source-header: Content-Type: text/html; charset=utf-8' || nl || 'source-header: Content-Length: ' || strlen(html) || nl
+             || 'source-payload-digest: ' || payload_digest || nl || 'source-block-digest: sha256:' || sha256(head || html) || nl
+             || 'conversion: ' || conversion_id || nl
+             || array_to_string(list_transform(links, lambda v: 'outlink: ' || regexp_replace(v, '[
+]+', ' ', 'g') || nl), '') AS fields FROM l)
+SELECT page_id, metadata_id, array_to_string(links, chr(10)) AS outlinks,
+       sha256('WARC/1.1' || nl || 'WARC-Type: metadata' || nl || 'WARC-Record-ID: ' || metadata_id || nl || 'WARC-Date: {CAPTURED}' || nl
+              || 'WARC-Target-URI: ' || uri || nl || 'WARC-Refers-To: ' || response_id || nl || 'WARC-Block-Digest: sha256:' || sha256(fields) || nl
+              || 'Content-Type: application/warc-fields' || nl || 'Content-Length: ' || strlen(fields) || nl || nl || fields || nl || nl) AS metadata_sha256
+FROM f"""
+
+
+@query(METADATA_SQL)
+def op4_warc_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.derive(warc.responses(table(spark, sf_dir, "pages"), CAPTURED))
+    return found.select("page_id", "metadata_id", F.array_join("links", "\n").alias("outlinks"), F.sha2("metadata_record", 256).alias("metadata_sha256"))
+
+
 @query()
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
