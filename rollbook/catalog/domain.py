@@ -579,6 +579,30 @@ def most_recent_degree_granting(t: Tables) -> DataFrame:
     return rc.most_recent_degree_granting(feed(t, "roster"), _cohort_keys(t), feed(t, "degree_schools"), _AFTER)
 
 
+_OF_COHORT = _RECENT[:_RECENT.index("usi IN (SELECT")] + "usi IN (SELECT usi FROM final))"
+
+
+@query("D16,S4,J1,W2", with_feeds(["roster", *_COHORT_FEEDS], _COHORT + _OF_COHORT + """
+    SELECT usi, lea_code AS most_recent_lea_code, lea_name AS most_recent_lea_name, school_code AS most_recent_school_code,
+           stage5_date AS most_recent_stage5_date, exit_date AS most_recent_exit_date, exit_code AS most_recent_exit_code
+    FROM (SELECT *, rank() OVER (PARTITION BY usi ORDER BY stage5_date DESC NULLS LAST, exit_date DESC NULLS LAST) AS r
+          FROM uni) x WHERE r = 1"""))
+def most_recent_enrollment_of_cohort(t: Tables) -> DataFrame:
+    return rc.most_recent_enrollment(feed(t, "roster"), _cohort(t).select("usi"), _AFTER)
+
+
+@query("D16,J5,T20", with_feeds(["roster", *_COHORT_FEEDS], _COHORT + _OF_COHORT + """,
+    sub AS (SELECT DISTINCT usi, lea_code, school_code, stage5_date, exit_date, exit_code FROM uni
+            WHERE EXISTS (SELECT 1 FROM degree_schools WHERE school_id = school_code AND lea_id = lea_code))
+    SELECT usi, lea_code AS most_recent_degree_lea_code, school_code AS most_recent_degree_school_code,
+           stage5_date AS most_recent_degree_stage5_date, exit_date AS most_recent_degree_exit_date,
+           exit_code AS most_recent_degree_exit_code
+    FROM (SELECT *, rank() OVER (PARTITION BY usi ORDER BY stage5_date DESC NULLS LAST, exit_date DESC NULLS LAST) AS r
+          FROM sub) x WHERE r = 1"""))
+def most_recent_degree_granting_of_cohort(t: Tables) -> DataFrame:
+    return rc.most_recent_degree_granting(feed(t, "roster"), _cohort(t).select("usi"), feed(t, "degree_schools"), _AFTER)
+
+
 # ---------------------------------------------------------------- at risk
 
 _PEOPLE = """,
