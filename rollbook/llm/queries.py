@@ -7,7 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import bpe, decontaminate, language_id, licenses, line_dedup, minhash, substring_dedup, suffix_dedup, warc, winnowing
+from rollbook.llm import (bpe, decontaminate, filter_audit, language_id, licenses, line_dedup, minhash, simhash, source_audit, substring_dedup,
+                          suffix_dedup, warc, winnowing)
 from rollbook.llm.common import documents, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -166,7 +167,7 @@ f AS (SELECT *, 'title: ' || replace(title, chr(10), ' ') || nl || 'language: '
              || 'source-header: Content-Type: text/html; charset=utf-8' || nl || 'source-header: Content-Length: ' || strlen(html) || nl
              || 'source-payload-digest: ' || payload_digest || nl || 'source-block-digest: sha256:' || sha256(head || html) || nl
              || 'conversion: ' || conversion_id || nl
-             || array_to_string(list_transform(links, lambda v: 'outlink: ' || regexp_replace(v, '[
+             || array_to_string(list_transform(links, lambda v: 'outlink: ' || regexp_replace(v, '[
 ]+', ' ', 'g') || nl), '') AS fields FROM l)
 SELECT page_id, metadata_id, array_to_string(links, chr(10)) AS outlinks,
        sha256('WARC/1.1' || nl || 'WARC-Type: metadata' || nl || 'WARC-Record-ID: ' || metadata_id || nl || 'WARC-Date: {CAPTURED}' || nl
@@ -198,3 +199,66 @@ def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.remove_repeated_bytes(documents(spark, sf_dir).select("doc_id", "text"))
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+FILTER_SQL = r"""
+WITH g AS (SELECT doc_id, coalesce(bool_or(quality = 1), FALSE) AS good, coalesce(bool_or(toxic = 1), FALSE) AS toxic FROM labels GROUP BY doc_id),
+m AS (SELECT coalesce(text, '') AS text, min(doc_id) AS first FROM documents GROUP BY 1),
+d AS (SELECT coalesce(d.lang, '') AS part, m.text, coalesce(g.good, FALSE) AS good, coalesce(g.toxic, FALSE) AS toxic, coalesce(d.doc_id > m.first, FALSE) AS again,
+             list_filter(regexp_split_to_array(m.text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+      FROM documents d JOIN m ON coalesce(d.text, '') = m.text LEFT JOIN g ON d.doc_id = g.doc_id),
+f AS (SELECT part, good, toxic, CASE WHEN len(w) < 100 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END
+             || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) THEN 'C' ELSE '' END
+             || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN again THEN 'E' ELSE '' END AS fails FROM d),
+c AS (SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic FROM f GROUP BY part, fails),
+l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM l a, l b, l c, l d, l e
+      WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (SELECT filter_order, CAST(k AS INTEGER) AS step, filter_order[k] AS own, filter_order[1:k - 1] AS earlier FROM o, range(1, 6) r(k)),
+x AS (SELECT c.*, s.*, contains(c.fails, s.own) AS fail, c.fails <> '' AND len(list_intersect(string_split(s.earlier, ''), string_split(c.fails, ''))) > 0
+                AND s.earlier <> '' AS gone FROM c, s),
+r AS (SELECT part, filter_order, step, own, sum(n) FILTER (WHERE NOT gone AND NOT fail) AS kept, sum(n) FILTER (WHERE NOT gone AND fail) AS removed,
+             sum(n) FILTER (WHERE gone AND fail) AS redundant, sum(n) FILTER (WHERE fails = own) AS unique_fails,
+             sum(good) FILTER (WHERE NOT gone AND fail) AS good_lost, sum(toxic) FILTER (WHERE NOT gone AND fail) AS toxic_lost FROM x GROUP BY ALL)
+SELECT part, filter_order, step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+       CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+       CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+       CAST(coalesce(sum(removed) OVER (PARTITION BY part, own), 0) AS BIGINT) AS shapley FROM r"""
+
+
+@query(FILTER_SQL)
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = filter_audit.cells(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+    return filter_audit.audit(counts, [*filter_audit.text_failures(F.col("text")), filter_audit.REPEAT])
+
+
+SOURCE_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS nth, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+t AS (SELECT nth, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS total FROM t GROUP BY lang, term HAVING count(DISTINCT nth) >= 10),
+v AS (SELECT lang, count(*) AS v, sum(total) AS n FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT t.lang, t.source, t.term, count(*) AS c FROM t JOIN k ON t.lang = k.lang AND t.term = k.term GROUP BY ALL),
+n AS (SELECT lang, source, sum(c) AS n FROM c GROUP BY ALL),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c, 1 + (CAST(1000000000 AS HUGEINT) * (coalesce(c.c, 0) + 2)) // (coalesce(n.n, 0) + 2 * v.v) AS p,
+             1 + (CAST(1000000000 AS HUGEINT) * (k.total + 2)) // (v.n + 2 * v.v) AS q
+      FROM g JOIN k ON g.lang = k.lang JOIN v ON g.lang = v.lang LEFT JOIN n ON g.lang = n.lang AND g.source = n.source
+      LEFT JOIN c ON g.lang = c.lang AND g.source = c.source AND k.term = c.term),
+f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0) AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+      UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p WHERE c > 0 AND p > q),
+z AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS nth FROM r)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(nth AS INTEGER) AS rank FROM z WHERE part = 'pair' OR nth <= 10"""
+
+
+@query(SOURCE_SQL)
+def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.divergences(documents(spark, sf_dir))
+
+
+@query()
+def op13_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir))
