@@ -6,7 +6,7 @@ p = 1 + floor(SCALE * (count + 2) / (N + 2V)), with N its count of kept terms an
 over the kept terms of floor((p - q)^2 / (p + q)).
 
 Most counts are small and equal, so no group's column is written out. The vocabulary is reordered: terms with the same counts in
-all sources become one row that stands for as many, and the rows are sorted by their counts, across the cluster. Blocks of
+all sources become one row that stands for as many, and the rows are sorted by their counts, in each partition. Blocks of
 neighbouring rows are run-length encoded, a column a group; two groups are compared run by run, over the union of their run
 boundaries, each f multiplied by the length of its run. Blocks are bounded in size, and add up to the sums by map-side combine.
 
@@ -99,7 +99,8 @@ def shares(counts: np.ndarray, n: int, v: int) -> np.ndarray:
 def encoded(terms: DataFrame) -> DataFrame:
     """(lang, size, sources, ends, counts): blocks of the reordered vocabulary, with the run ends and run values of each source found there."""
     runs = terms.groupBy("lang", F.col("held").alias("vector")).agg(F.count("*").alias("length"))
-    ordered = runs.repartitionByRange("lang", "vector").sortWithinPartitions("lang", "vector")
+    # sorted where the grouping has put them: ranges over the whole would need a sample of the vectors on the driver
+    ordered = runs.sortWithinPartitions("lang", "vector")
 
     def block(lang, vectors, lengths):
         places = np.cumsum(lengths)
