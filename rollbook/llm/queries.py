@@ -86,7 +86,8 @@ p AS (SELECT doc_id, len(w) AS n, unnest(range(1, len(w) - 3)) AS p, w FROM d),
 s AS (SELECT doc_id, n, p, array_to_string(w[p:p + 4], ' ') AS g FROM p),
 q AS (SELECT item_id, len(w) AS m, unnest(range(1, len(w) - 3)) AS p, w FROM b),
 t AS (SELECT item_id, m, p, array_to_string(w[p:p + 4], ' ') AS g FROM q),
-c AS (SELECT DISTINCT doc_id, item_id, m, greatest(0, least(s.p - t.p, n - m)) AS start FROM s JOIN t ON s.g = t.g),
+h AS (SELECT DISTINCT s.doc_id, s.n, s.p, t.item_id, t.m FROM s JOIN t ON s.g = t.g),
+c AS (SELECT DISTINCT doc_id, item_id, m, unnest(range(greatest(0, least(p - m + 4, n - m)), greatest(0, least(p - 1, n - m)) + 1)) AS start FROM h),
 x AS (SELECT c.doc_id, c.item_id, c.m, c.start, s.g, count(*) * length(s.g) AS a
       FROM c JOIN s ON s.doc_id = c.doc_id AND s.p > c.start AND s.p <= c.start + c.m - 4 GROUP BY c.doc_id, c.item_id, c.m, c.start, s.g),
 y AS (SELECT item_id, g, count(*) * length(g) AS a FROM t GROUP BY item_id, g),
