@@ -157,8 +157,8 @@ FEEDS: dict[str, str] = {
                CASE WHEN event_id % 13 = 0 THEN '1' ELSE '0' END AS inactive
         FROM {{events}} JOIN {{customer}} ON user_id = c_custkey""",
     "amendments": f"""
-        SELECT CAST({_LOG_STUDENT} AS BIGINT) AS studentid, {_lea(_HOME)} AS lea, CAST(event_id AS BIGINT) AS eventid
-        FROM {{events}} JOIN {{customer}} ON user_id = c_custkey WHERE event_type = 'purchase' AND event_id % 4 = 0""",
+        SELECT CAST({_LOG_STUDENT} AS BIGINT) AS studentid, {_lea(_HOME)} AS lea, CASE WHEN event_type = 'purchase' AND event_id % 4 = 0 THEN CAST(event_id AS BIGINT) END AS eventid
+        FROM {{events}} JOIN {{customer}} ON user_id = c_custkey""",
     "services": f"""
         SELECT CAST({_LOG_STUDENT} AS BIGINT) AS studentid, {_lea(_HOME)} AS district_code,
                CAST(event_id AS BIGINT) AS eventid,

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -47,6 +47,13 @@ def one_of(c: str | Column, values: Iterable[str]) -> Column:
     return F.lower(F.rtrim(col(c).cast("string"))).isin([v.rstrip().lower() for v in values])
 
 
+def coded(df: DataFrame, code: str, c: str, values: Iterable[str]) -> Column:
+    """``c`` is in the list. Where the landed frame has the folded companion ``code``, that is compared: a plain test of a stored
+    column, which reaches the scan."""
+    values = list(values)
+    return F.col(code).isin([v.rstrip().upper() for v in values]) if code in df.columns else one_of(c, values)
+
+
 def none_of(c: str | Column, values: Iterable[str]) -> Column:
     return ~one_of(c, values)
 

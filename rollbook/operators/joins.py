@@ -47,10 +47,20 @@ def _without(df: DataFrame, keys: Keys, prefix: str) -> DataFrame:
 
 
 def enrich(df: DataFrame, lookups: Sequence[tuple[DataFrame, Keys, Mapping[str, str | Column]]],
-           how: str = "left") -> DataFrame:
-    """Chain of lookup joins: (dimension, keys, {new column: source column}). Several matches repeat the row."""
+           how: str = "left", colocated: bool = False) -> DataFrame:
+    """Chain of lookup joins: (dimension, keys, {new column: source column}). Several matches repeat the row.
+
+    ``colocated``: both sides may keep the partitioning they have, as frames bucketed by or grouped on the keys; for keys without
+    hot values, as such a join cannot be split.
+    """
     for i, (dim, keys, take) in enumerate(lookups):
         prefix = f"_dim{i}_"
+        if colocated:
+            renamed = dim.select(*[F.col(theirs).alias(f"{prefix}{j}") for j, (_, theirs) in enumerate(_pairs(keys))],
+                                 *[col(source).alias(name) for name, source in take.items()])
+            on = reduce(lambda a, b: a & b, [F.col(mine) == F.col(f"{prefix}{j}") for j, (mine, _) in enumerate(_pairs(keys))])
+            df = df.join(renamed, on, how).drop(*[f"{prefix}{j}" for j in range(len(_pairs(keys)))])
+            continue
         side = dim.select(*_renamed(keys, prefix), *[col(source).alias(name) for name, source in take.items()])
         df = _without(df.join(side, _conditions(keys, prefix), how), keys, prefix)
     return df
@@ -127,6 +137,23 @@ def eav_lookup(df: DataFrame, eav: DataFrame, name: str, keys: Keys, out: str,
     return enrich(df, [(eav.where(F.col(name_col) == name), keys, {out: value_col})])
 
 
+def eav_columns(df: DataFrame, eav: DataFrame, names: Mapping[str, str], keys: Keys, name_col: str = "name",
+                value_col: str = "value") -> DataFrame:
+    """``eav_lookup`` of several attributes, {new column: attribute}, by one reading, one grouping and one join.
+
+    A row is repeated for each value of an attribute, as by one join an attribute. Equal values are counted before the
+    join, so what is gathered for a key is as small as its distinct values.
+    """
+    theirs = [r for _, r in _pairs(keys)]
+    counted = (eav.where(F.col(name_col).isin(list(names.values()))).groupBy(*theirs, F.col(name_col).alias("_name"), F.col(value_col).alias("_value"))
+               .agg(F.count(F.lit(1)).cast("int").alias("_n")))
+    held = [F.collect_list(F.when(F.col("_name") == name, F.struct("_value", "_n"))).alias(out) for out, name in names.items()]
+    rows = enrich(df, [(counted.groupBy(*theirs).agg(*held), keys, {out: out for out in names})])
+    for out in names:
+        rows = rows.withColumn(out, F.explode_outer(F.flatten(F.transform(out, lambda x: F.array_repeat(x["_value"], x["_n"])))))
+    return rows
+
+
 def update_from(df: DataFrame, src: DataFrame, keys: Keys, values: Mapping[str, str]) -> DataFrame:
     """Set {target: source} columns on matched rows. Of several matches the row with the least source values wins,
     compared in the given order, NULL last."""

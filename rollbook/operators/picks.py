@@ -71,14 +71,14 @@ def resolve_ties(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colum
     with the greatest ``tie_order``.
 
     One grouping answers both questions: the greatest (order, preferred) tells whether a top row is preferred, the
-    greatest (order, tie order, row) is the fallback.
+    greatest (order, tie order, row) is the fallback. Both uses of it read all it gives, so that its shuffle is reused.
     """
     packed = _packed(df, keys, [*order, *tie_order])
     order, liked = [col(o) for o in order], F.coalesce(preferred, F.lit(False))
     best = df.groupBy(*keys).agg(F.max(_struct(order, liked.alias("liked"))).alias("_top"),
                                  F.max(packed).alias("_best"))
     fallback = _unpacked(df, keys, best.where(~F.col("_top.liked")))
-    chosen = _at_top(df.where(liked), best.where(F.col("_top.liked")), keys, order)
+    chosen = _at_top(df.where(liked), best.where(F.col("_top.liked") & F.col("_best").isNotNull()), keys, order)
     return chosen.unionByName(fallback)
 
 

@@ -148,8 +148,11 @@ def responsibility_flags(df: DataFrame, degree: DataFrame, non_degree: DataFrame
         part = schools.select("school_code", F.lit(kind).alias("kind"))
         kinds = part if kinds is None else kinds.unionByName(part)
     lookup = kinds.groupBy("school_code").agg(*[F.max(F.col("kind") == k).alias(k) for k in lists])
-    rows = enrich(df, [(lookup, ["school_code"], {"at_degree_school": "degree"}),
-                       (lookup, {"current_school_code": "school_code"}, {f"_{k}": k for k in lists})])
+    # rows without a current school, as all enrolled ones, are dealt out by a hash: a NULL key would bring them together
+    nowhere = F.concat(F.lit("none "), F.xxhash64(*df.columns).cast("string"))
+    placed = df.withColumn("_current", F.coalesce("current_school_code", nowhere))
+    rows = enrich(placed, [(lookup, ["school_code"], {"at_degree_school": "degree"}),
+                           (lookup, {"_current": "school_code"}, {f"_{k}": k for k in lists})]).drop("_current")
     rows = rows.withColumns({c: F.coalesce(F.col(c), F.lit(False)) for c in (
         "at_degree_school", *[f"_{k}" for k in lists])})
 
@@ -207,9 +210,9 @@ RECORD_COLUMNS = ["usi", "lea_code", "lea_name", "school_code", "school_name", "
 def cohort_data(records: DataFrame, degree_schools: DataFrame, leas: DataFrame, exits: DataFrame,
                 exit_status: DataFrame, workflow: DataFrame, power_leas: DataFrame, school_year: str = "2017-18",
                 power_year: str = "2017-2018", cut: Callable[[DataFrame], DataFrame] = stage) -> DataFrame:
-    """The cohort table. ``cut`` ends the lineage of the flagged rows, which feed two groupings and their join back,
-    and of the finished rows, which feed one more; without it each branch would run the whole chain again."""
-    univ = distinct_of(records.withColumnRenamed("current_enrolled_grade", "grade"), RECORD_COLUMNS)
+    """The cohort table. ``cut`` ends the lineage of the distinct records, which feed the tie rules and the table itself, of the
+    flagged rows, which feed two groupings and their join back, and of the finished rows, which feed one more; without it each branch would run the whole chain again."""
+    univ = cut(distinct_of(records.withColumnRenamed("current_enrolled_grade", "grade"), RECORD_COLUMNS))
     degree, non_degree = degree_lists(degree_schools)
     rows = attach_current_school(univ, most_recent_status(univ, degree))
     rows = cohort_universe(rows, degree, unique=True)

@@ -6,8 +6,10 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.functions import col, equals, fold, is_blank, label, like_ci, not_blank, one_of, recode
+from rollbook.functions import coded, col, equals, fold, is_blank, label, not_blank, recode
 from rollbook.operators import anti, conform, dedupe_preferred, merge_sources, tag, update_from
+from rollbook.sources.stages import Cut
+from rollbook.sources.tables import stage
 
 # Roster column of each target column, audit column of each target column.
 ROSTER_COLUMNS: dict[str, str] = {
@@ -28,26 +30,29 @@ AUDIT_COLUMNS: dict[str, str] = {
 LANGUAGE_COLUMNS = ("lep_indicator", "new_to_us", "native_language_code")
 # Categories of the two sources.
 ROSTER_CATEGORY, AUDIT_CATEGORY = "RosterUncertifiedMaster", "AuditnotRoster"
+# Statuses and stage of a certified enrollment.
+CERTIFIED_STATUSES, CERTIFIED_STAGE = ("Enrolled", "Withdrawn"), "Stage 5"
 
 
 def certified_roster(roster: DataFrame) -> DataFrame:
     """Enrolled or withdrawn stage-5 rows with a student id; LEA '001' written as '1'."""
-    kept = roster.where(one_of("enrollment_status", ["Enrolled", "Withdrawn"])
-                        & like_ci("enrollment_stage", "Stage 5") & not_blank("usi"))
+    kept = roster.where(coded(roster, "status_code", "enrollment_status", CERTIFIED_STATUSES)
+                        & coded(roster, "stage_code", "enrollment_stage", [CERTIFIED_STAGE]) & not_blank("usi"))
     return kept.withColumn("enrollment_responsible_lea_id",
                            recode("enrollment_responsible_lea_id", {"001": "1"}))
 
 
-def build_enrollments(roster: DataFrame, audit: DataFrame, language: bool = True) -> DataFrame:
+def build_enrollments(roster: DataFrame, audit: DataFrame, language: bool = True, cut: Cut = stage) -> DataFrame:
     """Roster rows UNION audit rows whose student, LEA and school the roster lacks.
 
     Audit race texts become codes by the roster's own code list (least code where a text has several). With
     ``language`` the later, wider form: LEP, new-to-US and native-language columns, and a non-blank ``custom1``
-    as category.
+    as category. ``cut`` ends the lineage of the certified rows, which feed the union, the test for audit rows and the code list.
     """
-    certified = certified_roster(roster)
-    custom = label([(not_blank("custom1"), col("custom1"))], ROSTER_CATEGORY)
     extra: dict[str, str | Column] = {c: c for c in LANGUAGE_COLUMNS} if language else {}
+    wanted = dict.fromkeys([*ROSTER_COLUMNS.values(), "race_ethnicity_desc", *extra, *(["custom1"] if language else [])])
+    certified = cut(certified_roster(roster).select(*wanted))
+    custom = label([(not_blank("custom1"), col("custom1"))], ROSTER_CATEGORY)
     ours = conform(certified, {**ROSTER_COLUMNS, **extra,
                                "category": custom if language else F.lit(ROSTER_CATEGORY)})
 

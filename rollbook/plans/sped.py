@@ -12,19 +12,20 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.functions import (as_date, as_moment, band, clamp_min, dec, equals, fill_blank, fold, is_blank,
-                                is_false, label, midnight, moment, not_blank, one_of, precedes, recode,
+from rollbook.functions import (as_date, as_moment, band, clamp_min, coded, dec, equals, fill_blank, fold, is_blank,
+                                is_false, label, midnight, moment, not_blank, precedes, recode,
                                 safe_div, text_us, to_scale, trunc_int, yes_no)
-from rollbook.operators import (anti, delete_not_in, eav_lookup, enrich, join_blank_safe, latest, max_level,
+from rollbook.operators import (anti, delete_not_in, eav_columns, enrich, join_blank_safe, latest, max_level,
                                 override, propagate_flag, tag)
 from rollbook.operators.aggregates import from_36ths, minutes_36ths
 from rollbook.sources.history import union_years, with_snapshot
-from rollbook.sources.tables import stage
+from rollbook.sources.tables import stage, stage_bucketed
 
 # Event types, service codes and bands of the special-education feed.
 ELIGIBILITY, IEP = "1", "2"
 NEGATIVE_TYPES = ("7", "54", "55", "110", "147")
 OUTSIDE_CLASS, INSIDE_CLASS, AIDE_SERVICE = "86", "83", "584"
+AIDE, FULL_TIME = "AideRequired", "LREFullTime"
 LRE_BANDS = [(0, 20, "A: 0-20%"), (21, 60, "B: 21-60%"), (60, None, "C: 60+ %")]
 LEVEL_BANDS = [("0", "8.00", "Level 1"), ("8.01", "16", "Level 2"), ("16.01", "24", "Level 3"),
                ("24", None, "Level 4")]
@@ -152,15 +153,17 @@ def sped_universe(students: DataFrame, cur: DataFrame, schools: DataFrame, categ
                   leas: DataFrame) -> DataFrame:
     """Students with a current IEP or eligibility, with school and LEA attributes. Dates lose their time of day.
 
-    A student's row appears once per school; LEA '001' and '1' are one code on both sides of the name lookup.
+    A student's row appears once per school (and per listing, where a school is listed twice); LEA '001' and '1' are one code on
+    both sides of the name lookup. The report's part of the school list comes along: units per day, and whether it has the school.
     """
     held = cur.where(F.col("iep_id").isNotNull() | F.col("elig_id").isNotNull())
     rows = students.join(held, list(STUDENT))
-    active = schools.where(F.col("inactive") == "0")
+    units = label([(equals("units_per_day", "0"), F.lit("1"))], F.col("units_per_day"))
+    active = schools.where(F.col("inactive") == "0").withColumn("_units", dec(units, 10, 2))
     names = leas.select(recode("lea_id", {"001": "1"}).alias("lea_id"), "lea_name").distinct()
     rows = enrich(rows, [
         (active, {"district_code": "district_code", "school_code": "schoolcode"},
-         {"school_name": "name", "_category": "category"}),
+         {"school_name": "name", "_category": "category", "units_per_day": "_units", "_at_school": F.lit(True)}),
         (categories, {"_category": "id"}, {"lea_type": "school_type", "school_type": "description"}),
         (names, {"district_code": "lea_id"}, {"lea_name": "lea_name"})])
     days = [c for c in cur.columns if c.endswith("_date")]
@@ -226,23 +229,21 @@ def service_minutes(services: DataFrame, types: DataFrame, iep: DataFrame, as_of
 
 # ---------------------------------------------------------------- report
 
-def lre_report(univ: DataFrame, schools: DataFrame, race: DataFrame, disabilities: DataFrame, minutes: DataFrame,
+def lre_report(univ: DataFrame, race: DataFrame, disabilities: DataFrame, minutes: DataFrame,
                custom: DataFrame) -> DataFrame:
-    """Hours, percentages and placement band. Students at a school missing from the school list drop out."""
-    units = label([(equals("units_per_day", "0"), F.lit("1"))], F.col("units_per_day"))
-    active = schools.where(F.col("inactive") == "0").withColumn("_units", dec(units, 10, 2))
+    """Hours, percentages and placement band. Students at a school missing from the school list drop out.
+
+    Both attributes of the key/value table come by one join: the aide, and the environment that ``publish_sped`` maps.
+    """
     named = disabilities.where((F.col("inactive") == "0") & (F.col("district_code") == "1"))
-    rows = enrich(univ, [(active, {"district_code": "district_code", "school_code": "schoolcode"},
-                          {"units_per_day": "_units"})], how="inner")
+    rows = enrich(univ, [(minutes, list(STUDENT), {m: m for m in ("outside_minutes", "inside_minutes", "aide_minutes")})], colocated=True)
+    rows = rows.where(F.col("_at_school")).drop("_at_school")
     rows = enrich(rows.withColumn("_disability", fold("iep_disability")), [
         (race, {"studentcode": "usi"}, {"race_code": "raceethnicity", "race_description": "race_fin"}),
         (named.withColumn("_id", fold("id")), {"_disability": "_id"},
-         {"primary_disability_name": "name", "code_618": "code_618"}),
-        (minutes, list(STUDENT), {m: m for m in ("outside_minutes", "inside_minutes", "aide_minutes")}),
-    ]).drop("_disability")
-    rows = eav_lookup(rows, custom, "AideRequired",
-                      {"studentid": "studentid", "district_code": "district_code", "iep_id": "eventid"},
-                      "dedicated_aide")
+         {"primary_disability_name": "name", "code_618": "code_618"})]).drop("_disability")
+    rows = eav_columns(rows, custom, {"dedicated_aide": AIDE, "_env": FULL_TIME},
+                       {"studentid": "studentid", "district_code": "district_code", "iep_id": "eventid"})
     return hours_columns(rows)
 
 
@@ -285,14 +286,12 @@ def sped_level(report: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- publishing
 
-def publish_sped(report: DataFrame, custom: DataFrame, env_map: DataFrame, errors: DataFrame, leas: DataFrame,
+def publish_sped(report: DataFrame, env_map: DataFrame, errors: DataFrame, leas: DataFrame,
                  as_of: dt.datetime, options: SpedOptions = CURRENT) -> DataFrame:
     """Child-count environment, error flag, removal of inactive LEAs, final codes and texts."""
     if options.eligible_only:
         report = report.where(equals("eligibility_status", "YES"))
-    rows = eav_lookup(report, custom, "LREFullTime",
-                      {"iep_id": "eventid", "studentid": "studentid", "district_code": "district_code"}, "_env")
-    rows = enrich(rows.withColumn("_env", fold("_env")), [
+    rows = enrich(report.withColumn("_env", fold("_env")), [
         (env_map.withColumn("_key", fold("seds_environment")), {"_env": "_key"},
          {"seds_environment": "childcount_environment"})]).drop("_env")
     rows = rows.withColumns({
@@ -300,7 +299,7 @@ def publish_sped(report: DataFrame, custom: DataFrame, env_map: DataFrame, error
         "user_updated_environment_date": F.lit(None).cast("int"),
         "child_count_environment": F.col("seds_environment"), "child_count_environment_source": F.lit("SEDS"),
         "flag": F.when(is_blank("eligibility_status"), NOT_SERVED).otherwise("")})
-    excluded = (errors.where(one_of("error_type", UDE_ERRORS) & equals("cc_exclusion", "yes"))
+    excluded = (errors.where(coded(errors, "error_code", "error_type", UDE_ERRORS) & coded(errors, "exclusion_code", "cc_exclusion", ["yes"]))
                 .select(*STUDENT).distinct())
     rows = join_blank_safe(rows, excluded, list(STUDENT), {"ude": F.lit("Yes")})
     valid = leas.where(F.col("valid_for_enrollment") == "1").select(recode("lea_id", {"001": "1"}).alias("lea_id"))
@@ -316,16 +315,18 @@ def sped_current(enrollments: DataFrame, students: DataFrame, events: DataFrame,
                  services: DataFrame, service_types: DataFrame, schools: DataFrame, categories: DataFrame,
                  leas: DataFrame, race: DataFrame, disabilities: DataFrame, custom: DataFrame,
                  env_map: DataFrame, errors: DataFrame, as_of: dt.datetime,
-                 options: SpedOptions = CURRENT, cut: Callable[[DataFrame], DataFrame] = stage) -> DataFrame:
+                 options: SpedOptions = CURRENT, cut: Callable[[DataFrame], DataFrame] = stage,
+                 deal: Callable[[DataFrame, Sequence[str]], DataFrame] = stage_bucketed) -> DataFrame:
     """The current special-education table. ``cut`` ends the lineage of the last events, which are grouped by
-    student and joined back, and of the universe, which feeds both the service sums and the report."""
-    universe = sped_students(enrollments, students)
+    student and joined back. ``deal`` ends that of the students and of the universe with its events, each of which feeds two branches,
+    and leaves them dealt out by student and district: what groups by these or joins on them takes them as they lie."""
+    universe = deal(sped_students(enrollments, students), STUDENT)
     current = cancel_events(cut(current_events(universe, event_summary(events, amendments))), options)
-    univ = cut(eligibility_status(sped_universe(universe, current, schools, categories, leas), as_of))
+    univ = deal(eligibility_status(sped_universe(universe, current, schools, categories, leas), as_of), STUDENT)
     minutes = service_minutes(services, service_types, univ, as_of, options.include_expired)
     univ = univ.withColumn("iep_disability", fill_blank("iep_disability", "primary_disability"))
-    report = sped_level(lre_report(univ, schools, race, disabilities, minutes, custom))
-    return publish_sped(report, custom, env_map, errors, leas, as_of, options)
+    report = sped_level(lre_report(univ, race, disabilities, minutes, custom))
+    return publish_sped(report, env_map, errors, leas, as_of, options)
 
 
 def highest_levels(extracts: Sequence[DataFrame]) -> DataFrame:

@@ -9,13 +9,17 @@ from pyspark.sql import functions as F
 
 from rollbook.functions import moment
 from rollbook.operators.sets import union_distinct
+from rollbook.sources.schemas import DAY
 
 
 def snapshot(df: DataFrame, date_col: str, day: dt.date, whole_day: bool = False) -> DataFrame:
     """Rows logged at midnight of ``day``; with ``whole_day`` at any time of that day.
 
-    Both are range tests on the bare column, so they reach the scan and prune partitions.
+    Both are range tests on the bare column, so they reach the scan. Of a history landed by ``landing.land_days`` only the day's
+    partition is read.
     """
+    if DAY in df.columns:
+        df = df.where(F.col(DAY) == F.lit(day))
     start = F.lit(day.isoformat()).cast("timestamp_ntz")
     if not whole_day:
         return df.where(F.col(date_col) == start)
@@ -24,7 +28,9 @@ def snapshot(df: DataFrame, date_col: str, day: dt.date, whole_day: bool = False
 
 
 def since(df: DataFrame, date_col: str, day: dt.date) -> DataFrame:
-    """Rows dated after ``day`` (its own rows excluded)."""
+    """Rows dated after ``day`` (its own rows excluded); of a landed history only the later days' partitions are read."""
+    if DAY in df.columns:
+        df = df.where(F.col(DAY) > F.lit(day))
     return df.where(F.col(date_col) >= F.lit((day + dt.timedelta(days=1)).isoformat()).cast("timestamp_ntz"))
 
 

@@ -86,6 +86,16 @@ CODES: dict[str, list[str]] = {
     "profile_master": ["school_code"],
 }
 
+#: Folded companions of texts that are published as they came but filtered by code, added when a source is landed.
+COMPANIONS: dict[str, dict[str, str]] = {
+    "roster": {"status_code": "enrollment_status", "stage_code": "enrollment_stage"},
+    "roster_history": {"status_code": "enrollment_status", "stage_code": "enrollment_stage"},
+    "unified_errors": {"error_code": "error_type", "exclusion_code": "cc_exclusion"},
+}
+
+#: Partition column of a landed history: the day of its date column.
+DAY = "logday"
+
 TARGETS: dict[str, str] = {
     "enrollments": """usi string, source_local_id string, last_name string, first_name string, dob date,
         gender string, grade string, race_eth string, lea_code string, lea_name string, school_code string,
@@ -96,10 +106,53 @@ TARGETS: dict[str, str] = {
         current_iep_start_date string, current_iep_end_date string, current_iep_amendment_date string,
         current_primary_disability string, current_hours decimal(18,2), current_swd_level string,
         highest_swd_level string, accommodation_504 string, lea_code string""",
+    "sped_current": """studentcode string, district_code string, school_code string, studentid bigint, iep_id bigint,
+        iep_created timestamp_ntz, iep_event_date date, iep_begin_date date, iep_end_date date,
+        primary_disability string, elig_id bigint, elig_created timestamp_ntz, elig_event_date date,
+        elig_begin_date date, elig_end_date date, dated_id bigint, dated_created timestamp_ntz,
+        dated_event_date date, dated_begin_date date, dated_end_date date, school_name string,
+        units_per_day decimal(10,2), lea_type string, school_type string, lea_name string, iep_disability string,
+        stars_id int, referral_date int, eligibility_status string, outside_minutes decimal(18,6),
+        inside_minutes decimal(18,6), aide_minutes decimal(18,6), race_code string, race_description string,
+        primary_disability_name string, code_618 string, dedicated_aide string, aide_total_minutes decimal(18,4),
+        aide_hours decimal(18,2), school_hours_per_week decimal(12,2), total_minutes decimal(19,4),
+        outside_hours decimal(18,2), inside_hours decimal(18,2), total_hours decimal(18,2),
+        outside_percent decimal(18,0), inside_percent decimal(18,0), lre string,
+        total_hours_with_aide decimal(18,2), sped_level string, seds_environment string,
+        user_updated_environment int, user_updated_environment_date int, child_count_environment string,
+        child_count_environment_source string, flag string, ude string, snapshot_date timestamp_ntz""",
     "cohort_report": """lea_name string, lea_code string, school_name string, school_code string, usi string,
         first_name string, last_name string, date_of_birth date, acgr_universe string,
         enrollment_indicator string, exit_indicator string, lea_indicator string, lea_detail string,
         school_indicator string, school_detail string""",
+    "cohort_data": """usi string, lea_code string, lea_name string, school_code string, school_name string, grade string,
+        first_name string, last_name string, date_of_birth date, student_current_status string,
+        enrollment_status string, enrollment_status_final string, stage5_entry_date date, stage5_entry_code string,
+        stage5_exit_code string, stage5_exit_date date, current_school_code string, current_lea_code string,
+        current_entry_date date, ex_mn_exit_code string, ex_mn_exit_date string, ex_mn_display_status string,
+        enrollment_indicator string, exit_indicator string, lea_detail string, lea_indicator string,
+        school_detail string, school_indicator string, acgr_universe string""",
+    "overage_dates": "date date, g9 date, g10 date, g11 date, g12 date",
+    "school_profiles": """school_code string, lea_code string, social_media string, twitter_link string,
+        facebook_link string, parent_org string, parent_org_link string, parent_org_poc string,
+        poc_first_name string, poc_last_name string, poc_email string, poc_phone string,
+        communication_policy string, communication_policy_link string, charter_representative string,
+        charter_first_name string, charter_last_name string, charter_email string, charter_phone string,
+        dcps_advisory_team string, dcps_advisory_link string, dcps_advisory_poc string, dcps_first_name string,
+        dcps_last_name string, dcps_email string, dcps_phone string, operating_hours string,
+        point_of_pride_1 string, point_of_pride_2 string, point_of_pride_3 string, feeder_schools string,
+        care_available string, care_hours string, care_paid string, care_sliding string, care_voucher string,
+        care_free string, bus_line string, metro_line string, school_programs string, extra_curricular string""",
+    "school_environment": """school_code string, lea_code string, social_media string, twitter_link string,
+        facebook_link string, parent_org string, parent_org_link string, parent_org_poc string,
+        poc_first_name string, poc_last_name string, poc_email string, poc_phone string,
+        communication_policy string, communication_policy_link string, charter_representative string,
+        charter_first_name string, charter_last_name string, charter_phone string, advisory_team string,
+        advisory_link string, advisory_poc string, dcps_first_name string, dcps_last_name string,
+        dcps_email string, dcps_phone string, operating_hours string, point_of_pride_1 string,
+        point_of_pride_2 string, point_of_pride_3 string, feeder_schools string, care_available string,
+        care_hours string, care_paid string, care_sliding string, care_voucher string, care_free string,
+        bus_line string, metro_line string, school_programs string, extra_curricular string""",
     "at_risk": """usi string, lea_code string, school_code string, grade string, dob date, overage string,
         tanf string, snap string, cfsa string, housing_status string, at_risk string,
         last_refreshed timestamp_ntz""",

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegralType, StringType, StructType, TimestampNTZType, TimestampType
 
 from rollbook.functions import as_date, as_moment, fold
-from rollbook.sources.schemas import CODES, SOURCES
+from rollbook.sources import versions
+from rollbook.sources.schemas import CODES, COMPANIONS, SOURCES
 
 Conf = Mapping[str, Mapping[str, object]]
 
@@ -19,8 +20,8 @@ Conf = Mapping[str, Mapping[str, object]]
 def load(spark: SparkSession, name: str, conf: Conf) -> DataFrame:
     """Read the logical source ``name``.
 
-    Its entry in ``conf`` holds ``table`` (catalog), or ``path`` with an optional ``format`` (parquet by default),
-    or ``format`` 'jdbc' with ``options``; these must hold partitionColumn, lowerBound, upperBound and numPartitions,
+    Its entry in ``conf`` holds ``table`` (catalog), or ``path`` with an optional ``format`` (parquet by default; 'versions' is a
+    versioned target, of which ``version`` may name a kept one), or ``format`` 'jdbc' with ``options``; these must hold partitionColumn, lowerBound, upperBound and numPartitions,
     as otherwise the whole table would come through one task.
     """
     entry = conf[name]
@@ -30,14 +31,16 @@ def load(spark: SparkSession, name: str, conf: Conf) -> DataFrame:
             raise ValueError(f"{name}: a JDBC source needs {', '.join(sorted(missing))}")
     if "table" in entry:
         return spark.read.table(str(entry["table"]))
+    if entry.get("format") == "versions":
+        return versions.read(spark, str(entry["path"]), entry.get("version"))
     reader = spark.read.format(str(entry.get("format", "parquet"))).options(**entry.get("options", {}))
     return reader.load(entry["path"]) if "path" in entry else reader.load()
 
 
-def tidy(df: DataFrame, schema: str | StructType, codes: Sequence[str] = ()) -> DataFrame:
-    """Canonical names and types; code columns folded. Missing columns become NULL.
+def tidy(df: DataFrame, schema: str | StructType, codes: Sequence[str] = (), companions: Mapping[str, str] | None = None) -> DataFrame:
+    """Canonical names and types; code columns folded; ``companions`` (new column: text column) added, folded. Missing columns become NULL.
 
-    A non-blank value that does not fit an integer column raises."""
+    A non-blank value that does not fit an integer column raises; ``landing.land_checked`` sets such rows aside instead."""
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
     present = {c.lower(): c for c in df.columns}
@@ -59,7 +62,9 @@ def tidy(df: DataFrame, schema: str | StructType, codes: Sequence[str] = ()) ->
             return F.when(lost, F.raise_error(F.concat(F.lit(f"{field.name} does not fit {field.dataType.simpleString()}: "),
                                                        source.cast("string"))).cast(field.dataType)).otherwise(value)
         return value
-    return df.select(*[cell(f).alias(f.name) for f in schema.fields])
+    def folded(name):
+        return fold(F.col(f"`{present[name]}`")) if name in present else F.lit(None).cast("string")
+    return df.select(*[cell(f).alias(f.name) for f in schema.fields], *[folded(text).alias(new) for new, text in (companions or {}).items()])
 
 
 def land(spark: SparkSession, name: str, conf: Conf, folder: str, where: str | Column | None = None,
@@ -67,11 +72,11 @@ def land(spark: SparkSession, name: str, conf: Conf, folder: str, where: str | C
     """Copy a source once into ``folder`` in tidy form, and read it back.
 
     ``where`` is applied to the source as it is, so that the source can evaluate it; ``columns`` limits what is copied.
-    Later filters on code columns are plain comparisons on stored columns and reach the Parquet scan.
+    Later filters on code columns and companions are plain comparisons on stored columns and reach the Parquet scan.
     """
     path = f"{folder.rstrip('/')}/{name}"
     source = load(spark, name, conf)
-    rows = tidy(source if where is None else source.where(where), SOURCES[name], CODES.get(name, ()))
+    rows = tidy(source if where is None else source.where(where), SOURCES[name], CODES.get(name, ()), COMPANIONS.get(name))
     writer = (rows if columns is None else rows.select(*columns)).write.mode("overwrite")
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     return spark.read.parquet(path)
@@ -89,6 +94,14 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def scratch(spark: SparkSession, kind: str) -> str:
+    """A new folder name in the shared folder; what is written there goes when the driver ends."""
+    path = f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return path
+
+
 def stage(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     """Write a frame that feeds several branches to the shared folder and read it back: computed once, lineage cut.
 
@@ -96,16 +109,33 @@ def stage(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     executors; they are deleted when the driver ends, or earlier by ``release``.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
+    path = scratch(spark, "stage")
     writer = df.write.option("compression", "zstd")
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
     frame = spark.read.schema(df.schema).parquet(path)
     frame._staged = path
     return frame
 
 
+def stage_bucketed(df: DataFrame, keys: Sequence[str], buckets: int | None = None) -> DataFrame:
+    """``stage``, bucketed and sorted by the keys: groupings by them (or by more columns), and joins on them with frames that are
+    grouped or bucketed alike, need no exchange. The rows are dealt out by the keys once, when they are written.
+
+    For keys without hot values, as a bucket is read by one task. ``buckets`` is ``spark.sql.shuffle.partitions`` by default, so
+    that a shuffled side meets a bucketed one. The catalog holds the table only while the frame is resolved.
+    """
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path, name = scratch(spark, "stage"), f"stage_{uuid.uuid4().hex}"
+    (df.repartition(n, *keys).write.format("parquet").option("path", path).option("compression", "zstd")
+     .bucketBy(n, *keys).sortBy(*keys).saveAsTable(name))
+    frame = spark.table(name)
+    frame.schema  # resolved: the files and their buckets are known to the frame
+    spark.sql(f"DROP TABLE `{name}`")  # a table with a path of its own: the files stay
+    frame._staged = path
+    return frame
+
+
 def release(*frames: DataFrame) -> None:
     """Delete the files of staged frames that are read no more, and let the driver collect its garbage: the shuffle
     files of frames that nothing refers to any longer go with it."""

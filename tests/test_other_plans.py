@@ -185,6 +185,7 @@ def test_refresh_jobs(spark, named, tmp_path):
     targets = {n: str(tmp_path / "out" / n) for n in (
         "enrollments", "sped_current", "swd_sheet", "cohort_data", "cohort_report", "at_risk", "overage_dates",
         "profile_8003", "profile_8004", "school_profiles", "school_environment")}
+    targets["swd_sheet_titled"] = str(tmp_path / "out" / "titled")
     job = rf.Job(spark, conf, str(tmp_path / "stage"), targets)
     now = dt.datetime(2018, 3, 4, 12)
     for _ in range(2):
@@ -198,5 +199,17 @@ def test_refresh_jobs(spark, named, tmp_path):
     assert values(rf.refresh_at_risk(job, now), "usi", "at_risk") == [("1", "NO"), ("2", "YES")]
     assert values(rf.refresh_at_risk(job, now, derived=True), "usi", "at_risk") == [("1", "NO"), ("2", "YES")]
     assert values(rf.refresh_profiles(job), "school_code", "lea_code") == [("10", "1")]
-    plan = job.landed["sped_events:None"].where("inactive = '0' and eventtype = '2'")
+    assert load(spark, "x", {"x": {"path": targets["swd_sheet_titled"], "format": "versions"}}).columns[:2] == ["Studentcode", "First Name"]
+    assert set(job.landed["roster:" + rf.CERTIFIED + ":" + ",".join(rf.ROSTER_TAKEN)].columns) == set(rf.ROSTER_TAKEN)
+    assert set(job.history().columns) == {*rf.HISTORY_TAKEN, "logday"} and list(job.stages.held) == [("recent_universe", ("after", dt.date(2017, 8, 1)))]
+    job.close()
+    tables = rf.Job(spark, conf, str(tmp_path / "stage"), {"at_risk": "job_at_risk", "enrollments": "job_enrollments"}, tables=True,
+                    table_folder=str(tmp_path / "tables"))
+    try:
+        for _ in range(2):
+            assert rf.refresh_enrollments(tables).count() == 2 and rf.refresh_at_risk(tables, now).count() == 2
+    finally:
+        for name in tables.targets.values():
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+    plan = job.source("sped_events").where("inactive = '0' and eventtype = '2'")
     assert "EqualTo(inactive,0)" in plan._jdf.queryExecution().executedPlan().toString()
