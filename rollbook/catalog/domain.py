@@ -18,7 +18,7 @@ from rollbook.plans import risk as rk
 from rollbook.plans import sped as sp
 from rollbook.sources import stage
 
-AS_OF = dt.datetime(2024, 1, 25, 12)
+AS_OF = dt.datetime(2024, 1, 31, 12)
 
 
 def feed(t: Tables, name: str) -> DataFrame:
@@ -173,9 +173,9 @@ def sped_current_events(t: Tables) -> DataFrame:
 _SPED_UNIVERSE = """,
     univ AS (SELECT u.studentid, u.school_code, cur.*, s.name AS school_name, c.school_type AS lea_type,
                     c.description AS school_type, l.lea_name,
-                    CASE WHEN iep_event <= TIMESTAMP '2024-01-25 12:00:00' AND iep_end >= TIMESTAMP '2024-01-25 12:00:00'
-                           OR elig_event <= TIMESTAMP '2024-01-25 12:00:00' AND elig_end >= TIMESTAMP '2024-01-25 12:00:00'
-                              AND iep_end < TIMESTAMP '2024-01-25 12:00:00' THEN 'YES' END AS status
+                    CASE WHEN iep_event <= TIMESTAMP '2024-01-31 12:00:00' AND iep_end >= TIMESTAMP '2024-01-31 12:00:00'
+                           OR elig_event <= TIMESTAMP '2024-01-31 12:00:00' AND elig_end >= TIMESTAMP '2024-01-31 12:00:00'
+                              AND iep_end < TIMESTAMP '2024-01-31 12:00:00' THEN 'YES' END AS status
              FROM uni u JOIN cur ON cur.studentcode = u.studentcode AND cur.district_code = u.district_code
              LEFT JOIN sped_schools s ON s.district_code = u.district_code AND s.schoolcode = u.school_code
                   AND s.inactive = '0'
@@ -221,7 +221,7 @@ def _minutes_sql(expired: str) -> str:
                     CAST(sum(CASE WHEN w.serviceid = '584' THEN v END) AS HUGEINT) AS a36
              FROM picked p JOIN w ON w.studentid = p.studentid AND w.district_code = p.district_code
                   AND w.eventid = p.iep_id
-             WHERE (iep_end >= DATE '2024-01-25' AND begin_date <= DATE '2024-01-25' AND end_date >= DATE '2024-01-25'
+             WHERE (iep_end >= DATE '2024-01-31' AND begin_date <= DATE '2024-01-31' AND end_date >= DATE '2024-01-31'
                     {expired}) AND (place IS NOT NULL OR w.serviceid = '584')
              GROUP BY p.studentcode, p.district_code),
     mins AS (SELECT studentcode, district_code, (o36 * 20000 + 36) // 72 AS m_o, (i36 * 20000 + 36) // 72 AS m_i,
@@ -241,7 +241,7 @@ def sped_service_minutes(t: Tables) -> DataFrame:
 
 
 @query("D8,U3,P13", with_feeds(_MINUTE_FEEDS, _SPED_EVENTS + _SPED_UNIVERSE
-                               + _minutes_sql("OR iep_end < DATE '2024-01-25'") + _MINUTE_SELECT))
+                               + _minutes_sql("OR iep_end < DATE '2024-01-31'") + _MINUTE_SELECT))
 def sped_service_minutes_with_expired(t: Tables) -> DataFrame:
     return sp.service_minutes(feed(t, "services"), feed(t, "service_types"), _univ(t), AS_OF, include_expired=True)
 
@@ -289,7 +289,7 @@ _REPORT_SELECT = """
            CAST(p_o AS DECIMAL(18,0)) AS outside_percent, CAST(p_i AS DECIMAL(18,0)) AS inside_percent, lre,
            CAST(CAST(h_all AS DECIMAL(20,0)) / 100 AS DECIMAL(18,2)) AS total_hours_with_aide, level AS sped_level,
            env AS seds_environment, ude, CASE WHEN status IS NULL THEN 'Not Recv Services under IDEA' ELSE '' END AS flag,
-           TIMESTAMP '2024-01-25 12:00:00' AS snapshot_date FROM published"""
+           TIMESTAMP '2024-01-31 12:00:00' AS snapshot_date FROM published"""
 _REPORT_COLUMNS = ["studentid", "studentcode", "district_code", "school_code", "iep_id", "eligibility_status",
                    "race_code", "primary_disability_name", "dedicated_aide", "aide_hours", "school_hours_per_week",
                    "outside_hours", "inside_hours", "total_hours", "outside_percent", "inside_percent", "lre",
@@ -313,7 +313,7 @@ _NO_ELIGIBILITY = _SPED_EVENTS.replace("FROM ranked WHERE r = 1 AND kind = '1'",
 
 
 @query("D9,D10,D11,U3", with_feeds(
-    _REPORT_FEEDS, _NO_ELIGIBILITY + _SPED_UNIVERSE + _minutes_sql("OR iep_end < DATE '2024-01-25'")
+    _REPORT_FEEDS, _NO_ELIGIBILITY + _SPED_UNIVERSE + _minutes_sql("OR iep_end < DATE '2024-01-31'")
     + _REPORT.format(eligible="") + _REPORT_SELECT.format(
         lea="CASE WHEN district_code = '1' THEN '001' ELSE district_code END")))
 def sped_current_first_version(t: Tables) -> DataFrame:
@@ -352,14 +352,14 @@ def _sheet(t: Tables, options: sp.SpedOptions) -> DataFrame:
 
 
 @query("D12,D14", with_feeds(
-    _REPORT_FEEDS, _NO_ELIGIBILITY + _SPED_UNIVERSE + _minutes_sql("OR iep_end < DATE '2024-01-25'") + _REPORT.format(eligible="")
+    _REPORT_FEEDS, _NO_ELIGIBILITY + _SPED_UNIVERSE + _minutes_sql("OR iep_end < DATE '2024-01-31'") + _REPORT.format(eligible="")
     + _SHEET.format(join="JOIN", lea="CASE WHEN p.district_code = '1' THEN '001' ELSE p.district_code END")))
 def swd_sheet_with_504(t: Tables) -> DataFrame:
     return _sheet(t, sp.WITH_504)
 
 
 @query("D9,D10,D11,U3", with_feeds(
-    _REPORT_FEEDS, _SPED_EVENTS + _SPED_UNIVERSE + _minutes_sql("OR iep_end < DATE '2024-01-25'")
+    _REPORT_FEEDS, _SPED_EVENTS + _SPED_UNIVERSE + _minutes_sql("OR iep_end < DATE '2024-01-31'")
     + _REPORT.format(eligible="status = 'YES' AND") + _REPORT_SELECT.format(lea="district_code")))
 def sped_current_trial(t: Tables) -> DataFrame:
     return _sped(t, sp.TRIAL).select(*_REPORT_COLUMNS)
@@ -549,16 +549,21 @@ _RECENT = """,
               enrollment_attending_school_id AS school_code, enrollment_stage5_date AS stage5_date,
               enrollment_exit_date AS exit_date, enrollment_exit_code AS exit_code FROM roster
             WHERE CAST(logdate AS DATE) > DATE '1996-08-01' AND lower(trim(enrollment_status)) IN ('enrolled', 'withdrawn')
-              AND lower(trim(enrollment_stage)) = 'stage 5' AND usi IN (SELECT usi FROM records
-              WHERE current_enrolled_grade IN ('09', '10', '11', '12')))"""
+              AND lower(trim(enrollment_stage)) = 'stage 5' AND usi IN (SELECT usi FROM records r
+              WHERE current_enrolled_grade IN ('09', '9', '10', '11', '12') OR current_enrolled_grade LIKE 'C%'
+                OR (current_enrolled_grade NOT IN ('P3', 'PK3', 'PK4', 'KG', 'P4', '01', '1', '02', '2',
+                  '03', '3', '04', '4', '05', '5', '06', '6', '07', '7', '08', '8') AND EXISTS
+                    (SELECT 1 FROM degree_schools d WHERE degree_granting = 'Y' AND school_id = school_code AND lea_id = lea_code))))"""
 _AFTER = dt.date(1996, 8, 1)
 
 
 def _cohort_keys(t: Tables) -> DataFrame:
-    return feed(t, "records").where(F.col("current_enrolled_grade").isin("09", "10", "11", "12")).select("usi")
+    """Students of the cohort by its own rule, without the rest of the cohort table."""
+    rows = feed(t, "records").select("usi", "lea_code", "school_code", "current_enrolled_grade")
+    return co.cohort_universe(rows, co.degree_lists(feed(t, "degree_schools"))[0], "current_enrolled_grade").select("usi")
 
 
-@query("D16,S4,J1,W2", with_feeds(["roster", "records"], _RECENT + """
+@query("D16,S4,J1,W2", with_feeds(["roster", "records", "degree_schools"], _RECENT + """
     SELECT usi, lea_code AS most_recent_lea_code, lea_name AS most_recent_lea_name, school_code AS most_recent_school_code,
            stage5_date AS most_recent_stage5_date, exit_date AS most_recent_exit_date, exit_code AS most_recent_exit_code
     FROM (SELECT *, rank() OVER (PARTITION BY usi ORDER BY stage5_date DESC NULLS LAST, exit_date DESC NULLS LAST) AS r
@@ -628,7 +633,7 @@ def _people(t: Tables) -> DataFrame:
                FROM people p LEFT JOIN known ON known.usi = p.usi)
     SELECT *, CASE WHEN grade IN ('AW', 'AT') THEN 'NO' WHEN overage = 'YES' OR tanf = 'YES' OR snap = 'YES' OR cfsa = 'YES'
                 OR housing_status = 'YES' THEN 'YES' ELSE 'NO' END AS at_risk,
-           TIMESTAMP '2024-01-25 12:00:00' AS last_refreshed FROM staged"""))
+           TIMESTAMP '2024-01-31 12:00:00' AS last_refreshed FROM staged"""))
 def at_risk_any(t: Tables) -> DataFrame:
     return rk.at_risk(_people(t), feed(t, "indicators"), AS_OF, _CUTOFFS)
 
