@@ -131,3 +131,12 @@ def test_bucketed_stage(spark, frame, static):
     joined = op.enrich(left, [(grouped, ["k", "d"], {"s": "s"})], colocated=True)
     assert shuffles(joined) == 0 and values(joined, "v", "s") == [(1, 3), (2, 3), (3, None), (4, None)]
     assert not [x for x in spark.catalog.listTables() if x.name.startswith("stage_")]
+
+
+def test_attributes_by_one_join_repeat_rows_as_one_join_each_would(frame):
+    rows = frame("k string, x int", [("a", 1), ("b", 2), ("c", 3), (None, 4)])
+    eav = frame("key string, name string, value string", [("a", "one", "1"), ("a", "one", "1"), ("a", "one", None), ("a", "two", "2"), ("a", "two", "3"),
+                                                          ("b", "two", None), ("b", "other", "9"), (None, "one", "0"), ("c", "other", "9")])
+    got = op.eav_columns(rows, eav, {"first": "one", "second": "two"}, {"k": "key"})
+    each = op.eav_lookup(op.eav_lookup(rows, eav, "one", {"k": "key"}, "first"), eav, "two", {"k": "key"}, "second")
+    assert values(got, "k", "x", "first", "second") == values(each, "k", "x", "first", "second") and got.count() == 9
