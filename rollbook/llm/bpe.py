@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.llm.common import arrow_map, widened, without
+from rollbook.llm.common import arrow_map, widened, without, worker_cache
 
 #: Entries of the transducer's tables, and of each generation of the table of whole pieces.
 MAX_EDGES = 900_000
@@ -209,11 +209,11 @@ class Codec:
             yield block, machine.decode(block, final=i + BLOCK >= len(ids))
 
 
-_CODECS: dict[tuple[str, str], Codec] = {}
+_CODECS: dict[tuple[str, str], Codec] = worker_cache("bpe")
 
 
 def codec(path: str, pattern: str) -> Codec:
-    """One codec per Python worker."""
+    """One codec per Python worker, until another operator's task runs in it."""
     if (path, pattern) not in _CODECS:
         with open(path, "rb") as lines:
             _CODECS[path, pattern] = Codec(read_ranks(lines), pattern)
@@ -254,4 +254,4 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, text_col: str = "
             yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(found[r], types.get(r, pa.string())) for r in results]],
                                              names=[*out, *results])
 
-    return arrow_map(docs, work, widened(docs, ", ".join(f"{r} {RESULTS[r]}" for r in results)))
+    return arrow_map(docs, work, widened(docs, ", ".join(f"{r} {RESULTS[r]}" for r in results)), owner="bpe")

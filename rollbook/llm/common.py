@@ -1,6 +1,9 @@
 """Helpers shared by the operators of this subpackage."""
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -20,11 +23,35 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+#: What operators keep in a Python worker from task to task, by their names.
+_CACHES: dict[str, dict] = {}
+
+
+def worker_cache(owner: str) -> dict:
+    """A dictionary that stays in a Python worker while ``owner``'s tasks follow each other."""
+    return _CACHES.setdefault(owner, {})
+
+
+def release_caches(owner: str | None) -> None:
+    """Empty the caches of all other operators: workers are reused, and their memory counts in every later stage."""
+    held = [cache for name, cache in _CACHES.items() if name != owner and cache]
+    for cache in held:
+        cache.clear()
+    if held:
+        gc.collect()
+        with contextlib.suppress(OSError, AttributeError):  # other C libraries give memory back by themselves, or not
+            ctypes.CDLL(None).malloc_trim(0)
+
+
 def arrow_map(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-              schema: str | StructType) -> DataFrame:
-    """``mapInArrow`` with batches small enough for whole long texts."""
+              schema: str | StructType, owner: str | None = None) -> DataFrame:
+    """``mapInArrow`` with batches small enough for whole long texts. ``owner`` names the cache that the work goes on using."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_caches(owner)
+        yield from work(batches)
+
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    return df.mapInArrow(work, schema)
+    return df.mapInArrow(run, schema)
 
 
 def widened(df: DataFrame, ddl: str) -> StructType:
@@ -43,6 +70,14 @@ def set_aside(df: DataFrame, *needed: str) -> tuple[DataFrame, Callable[[DataFra
     return df.select(*needed, rest), restore
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores as it takes to be no column of the frame."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """Drop columns that an operator is about to add: its own result replaces an input column of the same name."""
     lowered = {n.lower() for n in names}
