@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.llm.common import blank_split, let
+from rollbook.llm.common import blank_split, let, unused
 from rollbook.sources.tables import stage
 
 #: Item shingles are broadcast up to this many rows (about 32 bytes each), and joined by shuffling beyond.
@@ -119,6 +119,7 @@ def contaminations(docs: DataFrame, items: DataFrame, size: int = 5, percent: in
 def clean_documents(docs: DataFrame, items: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id",
                     text_col: str = "text", item_col: str = "item_id") -> DataFrame:
     """The documents in which no item was found."""
-    bad = contaminations(docs, items, size, percent, id_col, text_col, item_col).select(F.col("key").alias("bad_key")).distinct()
+    name = unused(docs, "bad_key")
+    bad = contaminations(docs, items, size, percent, id_col, text_col, item_col).select(F.col("key").alias(name)).distinct()
     keyed = F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-    return docs.join(bad, keyed == F.col("bad_key"), "left_anti")
+    return docs.join(bad, keyed == F.col(name), "left_anti")

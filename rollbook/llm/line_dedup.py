@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.llm.common import arrow_map, batch_of, widened, without
+from rollbook.llm.common import arrow_map, batch_of, unused, widened, without
 from rollbook.sources.tables import stage
 
 BLANKS = b" \t\n\v\f\r"
@@ -95,8 +95,8 @@ def _combine(runs: DataFrame) -> DataFrame:
     return runs.groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"), F.max("last_doc").alias("last_doc"))
 
 
-def frequent_lines(lines: DataFrame, min_docs: int, batches: int = 4, fanout: int = 3) -> DataFrame:
-    """(key_hi, key_lo, last_doc) of the keys in at least ``min_docs`` documents, from the runs of all batches."""
+def frequent_lines(lines: DataFrame, min_docs: int, batches: int = 4, fanout: int = 3) -> tuple[DataFrame, DataFrame]:
+    """The staged lines, and (key_hi, key_lo, last_doc) of the keys in at least ``min_docs`` documents, from the runs of all batches."""
     cuts = lines.agg(F.percentile_approx("doc", [i / batches for i in range(1, batches)], 1000)).head()[0] or []
     cuts = sorted(set(cuts))
     nth = sum([(F.col("doc") > c).cast("int") for c in cuts], F.lit(0))
@@ -123,8 +123,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches
     docs = without(docs.withColumn(text_col, F.col(text_col).cast("string")), "n_lines", "n_dropped")
     out = docs.columns
     at = out.index(text_col)
-    joined = docs.join(drops.withColumnRenamed("doc", "drop_doc").hint("shuffle_hash"),
-                       F.col(id_col).cast("long").eqNullSafe(F.col("drop_doc")), "left").select(*[f"`{c}`" for c in out], "own_drop_keys")
+    doc, gone = unused(docs, "drop_doc"), unused(docs, "own_drop_keys")
+    joined = docs.join(drops.toDF(doc, gone).hint("shuffle_hash"), F.col(id_col).cast("long").eqNullSafe(F.col(doc)), "left").select(*[f"`{c}`" for c in out], gone)
 
     def work(arrow):
         for batch in arrow:

@@ -155,8 +155,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
                     text_col: str = "text") -> DataFrame:
     """The documents with n_shingles, component_id and kept added.
 
-    Documents whose sets have 100 * common >= percent * union are linked; component_id is the least id reachable.
+    Documents whose sets have 100 * common >= percent * union are linked; component_id is the least id reachable. The bands are laid
+    out for 80 percent or more; less is refused, as they would lose links.
     """
+    if percent < 80:
+        raise ValueError(f"{percent} percent: the bands find links of 80 percent or more")
     whole = without(docs, "n_shingles", "component_id", "kept")
     docs, _ = set_aside(whole, id_col, text_col)
     signed = stage(signatures(docs, size, text_col))

@@ -113,3 +113,27 @@ def test_large_buckets_are_split_without_loss(spark, monkeypatch):
     got = {r["u"] % (1 << 64): r["root"] % (1 << 64) for r in components(simhash.links(rows)).collect()}
     same = lambda names: {frozenset(v for v in set(values) if names.get(v, v) == n) for n in {names.get(v, v) for v in set(values)}}
     assert same(got) == same(root)
+
+
+def test_private_names_do_not_clash(spark):
+    """Columns named like those that line dedup and decontamination join by."""
+    from rollbook.llm import decontaminate, line_dedup, minhash
+    line = "a line of more than forty characters, found in five texts"
+    docs = spark.createDataFrame([(i, f"{line}\nown {i}", "kept", i, "k") for i in range(6)], "doc_id long, text string, own_drop_keys string, drop_doc long, BAD_KEY string")
+    cut = line_dedup.dedup_lines(docs)
+    assert cut.columns[:5] == docs.columns and sorted((r["doc_id"], r["n_dropped"], r["drop_doc"]) for r in cut.collect()) == [(i, int(i < 5), i) for i in range(6)]
+    items = spark.createDataFrame([(1, line)], "item_id long, text string")
+    clean = decontaminate.clean_documents(docs.unionByName(docs.limit(1).selectExpr("99L doc_id", "'something else' text", "own_drop_keys", "drop_doc", "BAD_KEY")), items)
+    assert [(r["doc_id"], r["BAD_KEY"]) for r in clean.collect()] == [(99, "k")]
+    with pytest.raises(ValueError, match="80 percent"):
+        minhash.near_duplicates(docs, percent=45)
+
+
+def test_a_worker_drops_the_caches_of_other_operators():
+    from rollbook.llm import common
+    mine, other = common.worker_cache("mine"), common.worker_cache("other")
+    mine["a"], other["b"] = 1, 2
+    common.release_caches("mine")
+    assert mine == {"a": 1} and other == {} and common.worker_cache("mine") is mine
+    common.release_caches(None)
+    assert mine == {}
