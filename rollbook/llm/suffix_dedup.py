@@ -9,7 +9,8 @@ covers goes. The work is dealt out so that equal strings meet:
    and runs whose key occurs once are dropped.
 2. What is left is the context of each run: the bytes of its strings. A chunk sends each distinct context once, with its
    earliest place; contexts with one key meet in one bucket.
-3. A bucket joins its distinct contexts to one text and sorts its suffixes by more than ``length`` bytes. On its
+3. Strings of one context differ from each other, as each has the anchor at another place. So a key with one distinct context
+   is settled by the earliest place of that. A bucket joins its other contexts to one text and sorts its suffixes by more than ``length`` bytes. On its
    Burrows-Wheeler transform, breadth-first backward extension starts from the interval of the empty string and goes on to the
    intervals of strings one byte longer; an interval that ends where no boundary is known yet sets one, with a common prefix of
    the present length. So boundaries appear by increasing common prefix, and the expansion stops at ``length``: suffixes
@@ -208,18 +209,20 @@ def _removed(contexts: DataFrame, length: int) -> DataFrame:
                 texts, ids = ch.texts_of(row["raw"], sizes), np.array(row["ids"], np.int64)
                 order = np.argsort(bucket, kind="stable")
                 cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+                low_keys = np.frombuffer(row["keys"], np.uint64).astype(np.uint32)  # keys that clash in these bits are looked at together
                 rows = [(int(bucket[order[a]]), row["chunk"], b - a, ch.squeeze(b"".join(
-                    [x[order[a:b]].tobytes() for x in (docs, ids[docs], firsts, sizes)] + [texts[i] for i in order[a:b].tolist()])))
+                    [x[order[a:b]].tobytes() for x in (docs, ids[docs], firsts, sizes, low_keys)] + [texts[i] for i in order[a:b].tolist()])))
                     for a, b in zip(cuts.tolist(), np.append(cuts[1:], len(order)).tolist())]
                 yield batch_of(**{n: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate(
                     (("bucket", pa.int64()), ("chunk", pa.int64()), ("n", pa.int64()), ("blob", pa.binary())))})
 
     def expand(group: pd.DataFrame) -> pd.DataFrame:
-        facts, texts, owner = [], [], []
+        facts, texts, owner, keys = [], [], [], []
         for at, (n, blob) in enumerate(zip(group["n"].tolist(), group["blob"])):
             raw = ch.expand(blob)
             own = np.frombuffer(raw, np.int64, 4 * n).reshape(4, n)
-            ends = 32 * n + np.cumsum(own[3])
+            keys.append(np.frombuffer(raw, np.uint32, n, 32 * n))
+            ends = 36 * n + np.cumsum(own[3])
             texts += [raw[e - s:e] for e, s in zip(ends.tolist(), own[3].tolist())]
             facts.append(own)
             owner += [at] * n
@@ -230,10 +233,19 @@ def _removed(contexts: DataFrame, length: int) -> DataFrame:
         which = np.array([distinct.setdefault(t, len(distinct)) for t in texts])
         least = np.full(len(distinct), np.iinfo(np.int64).max)
         np.minimum.at(least, which, place)
-        contexts = list(distinct)
-        earliest = earliest_places(contexts, np.array([len(c) for c in contexts]) - length + 1, least, length)
+        contexts, key_of = list(distinct), np.empty(len(distinct), np.uint32)
+        key_of[which] = np.concatenate(keys)
+        _, nth, met = np.unique(key_of, return_inverse=True, return_counts=True)
+        several = np.flatnonzero(met[nth] > 1)  # contexts that share their key with another
+        strings = np.array([len(c) for c in contexts]) - length + 1
+        found = earliest_places([contexts[i] for i in several.tolist()], strings[several], least[several], length) if len(several) else []
+        earliest = dict(zip(several.tolist(), found))
         cut: dict[int, list] = {}
         for i, w in enumerate(which.tolist()):
+            if w not in earliest:  # all strings of the context are earlier in its first place, or none is
+                if least[w] < place[i]:
+                    cut.setdefault(owner[i], []).append(np.array([[doc[i], first[i], first[i] + strings[w] - 1]]))
+                continue
             gone = earliest[w] < place[i] + np.arange(len(earliest[w]))
             if gone.any():
                 cut.setdefault(owner[i], []).append(np.column_stack([np.full(len(r := runs_of(gone)), doc[i]), r + first[i] - [0, 1]]))
