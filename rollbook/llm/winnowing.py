@@ -2,15 +2,19 @@
 
 Every run of ``k`` code points is hashed; of each window of ``w`` neighbouring hashes the least is selected, the rightmost
 one where it occurs more than once. So two texts that share ``w + k - 1`` code points share a selected hash, and its
-position says where. The hash and the place are kept in one number (36 bits of hash, 27 bits that fall as the position
-rises), whose least is the rightmost least hash; window minima come from minima over 2, 4, 8, ... neighbours.
+position says where. Hash and place are kept in one number (36 bits of hash, 27 bits that fall as the position
+rises), whose least is the rightmost least hash; window minima come from minima over 8 and 32 neighbours. The window moves over the runs
+that a look-ahead pattern gives; a hash rolled from code point to code point, in one scan by ``aggregate``, gave the same selection
+but took over five times as long, as each step of such a scan makes new rows and arrays.
 
 Long texts are cut into segments that overlap by ``w + k - 2`` code points, so that each window lies in one segment; windows
-are selected in each, and the places of all segments are put together per document. Texts shorter than k are one k-gram;
-texts with fewer than w k-grams are one window.
+are selected in each, and the places of all segments are put together per document. Texts shorter than k are one run;
+texts with fewer than w runs are one window.
 
 Defined results: NULL counts as ''; an empty text has no hashes and the fingerprint ''. Equal texts have equal fingerprints;
-the likeness of two texts is the share of common hashes (1 for two empty ones). Extra columns are not carried along.
+the likeness of two texts is the share of common hashes (1 for two empty ones). Positions count code points, also beyond U+FFFF;
+they are kept for texts of up to 2^27 code points, longer ones
+raise. Extra columns are not carried along.
 """
 from __future__ import annotations
 
@@ -22,28 +26,33 @@ from rollbook.llm.common import let
 K, W = 20, 32
 SEGMENT = 2048
 POSITION_BITS = 27
+_TOP = (1 << POSITION_BITS) - 1
+
+
+def _nothing() -> Column:
+    return F.array().cast("array<bigint>")
 
 
 def _least(values: Column, w: int) -> Column:
-    """The least of each w neighbours, by doubling; all in one window where there are fewer."""
-    def halves(have: int, at: Column) -> Column:
+    """The least of each w neighbours; all in one window where there are fewer. A step takes up to eight places at once."""
+    def spread(have: int, at: Column) -> Column:
         if have == w:
             return at
-        to = min(2 * have, w)
-        step = to - have
-        longer = let(at, lambda a: F.zip_with(F.slice(a, 1, F.size(a) - step), F.slice(a, step + 1, F.size(a) - step), lambda x, y: F.least(x, y)))
-        return halves(to, longer)
-    return let(values, lambda v: F.when(F.size(v) <= w, F.array(F.array_min(v))).otherwise(halves(1, v)))
+        to = min(8 * have, w)
+        offsets = sorted({*range(have, to - have + 1, have), to - have})
+        wider = let(at, lambda a: F.transform(F.slice(a, 1, F.size(a) - (to - have)), lambda x, i: F.least(x, *[F.get(a, i + o) for o in offsets])))
+        return spread(to, wider)
+    return let(values, lambda v: F.when(F.size(v) <= w, F.array(F.array_min(v))).otherwise(spread(1, v)))
 
 
 def selected(segment: Column, first: Column, k: int = K, w: int = W) -> Column:
-    """Distinct (hash, position) numbers selected in a segment whose first k-gram has position ``first`` (from 0)."""
-    grams = F.when(F.length(segment) < k, F.array(segment)).otherwise(
-        F.regexp_extract_all(segment, F.lit(rf"(?s)(?=(.{{{k}}}))"), 1))
-    top = (1 << POSITION_BITS) - 1
-    placed = F.transform(grams, lambda g, i: F.shiftleft(F.shiftrightunsigned(F.xxhash64(g), POSITION_BITS + 1), POSITION_BITS)
-                         .bitwiseOR((F.lit(top) - first - i).cast("long")))
-    return F.array_distinct(_least(placed, w))
+    """Distinct numbers (hash, position) selected in a segment whose first run has position ``first`` (from 0), by position."""
+    # a match may not begin between the two halves of a character beyond U+FFFF
+    runs = F.when(F.length(segment) < k, F.array(segment)).otherwise(
+        F.regexp_extract_all(segment, F.lit(rf"(?s)(?![\uDC00-\uDFFF])(?=(.{{{k}}}))"), 1))
+    numbers = F.transform(runs, lambda run, i: F.shiftleft(F.shiftrightunsigned(F.xxhash64(run), POSITION_BITS + 1), POSITION_BITS)
+                          .bitwiseOR((F.lit(_TOP) - first - i).cast("long")))
+    return F.array_distinct(_least(numbers, w))
 
 
 def segments(text: Column, k: int = K, w: int = W, size: int = SEGMENT) -> Column:
@@ -55,11 +64,16 @@ def segments(text: Column, k: int = K, w: int = W, size: int = SEGMENT) -> Colum
 
 
 def places(text: Column, k: int = K, w: int = W) -> Column:
-    """Distinct (hash, position) numbers of a whole text, segment by segment; none for an empty one."""
+    """Distinct (hash, position) numbers of a whole text by position, segment by segment; none for an empty one."""
     # a short rest behind a full piece lies wholly in the piece before it, but for windows that begin in it
     return F.array_distinct(F.flatten(F.transform(segments(text, k, w), lambda s: F.when(
         (s["nth"] == 0) | (F.length(s["segment"]) >= w + k - 1), selected(s["segment"], s["nth"] * SEGMENT, k, w))
-        .otherwise(F.array().cast("array<bigint>")))))
+        .otherwise(_nothing()))))
+
+
+def whole(text: Column) -> Column:
+    """A text whose positions can be kept."""
+    return F.when(F.length(text) > _TOP, F.raise_error(F.lit(f"a text of more than {_TOP} code points"))).otherwise(text)
 
 
 def hashes_of(chosen: Column) -> Column:
@@ -80,6 +94,33 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(union == 0, F.lit(1.0)).otherwise(both / union)
 
 
+def _known_in_prefix(chosen: Column, upto: Column, w: int = W) -> Column:
+    """Of a text's numbers by position, those that its windows 0 to ``upto`` select.
+
+    A number is first selected by the window it enters, if it is no larger in hash than the one before, and else by the first window
+    that the one before has left.
+    """
+    position = lambda x: F.lit(_TOP) - x.bitwiseAND(F.lit(_TOP))
+    hashed = lambda x: F.shiftrightunsigned(x, POSITION_BITS)
+
+    def begins(x: Column, i: Column) -> Column:
+        last = F.get(chosen, i - 1)
+        return F.when(i == 0, 0).when(hashed(x) <= hashed(last), position(x) - w + 1).otherwise(position(last) + 1)
+    return F.filter(chosen, lambda x, i: begins(x, i) <= upto)
+
+
+def places_of_edited(edited: Column, own: Column, kept: Column, other: Column, taken: Column, k: int = K, w: int = W) -> Column:
+    """``places`` of a text made of the first ``kept`` code points of one and the first ``taken`` of another, whose places are known:
+    only windows across the seam are hashed anew."""
+    span = w + k - 1
+    begin = F.greatest(kept - span + 1, F.lit(0))
+    seam = F.substring(edited, begin + 1, F.least(kept + taken, kept + span - 1) - begin)
+    across = let(seam, lambda t: F.when(F.length(t) >= span, selected(t, begin, k, w)).otherwise(_nothing()))
+    moved = F.transform(_known_in_prefix(other, taken - span, w), lambda x: x - kept)
+    known = F.array_distinct(F.concat(_known_in_prefix(own, kept - span, w), across, moved))
+    return F.when(kept + taken < span, places(edited, k, w)).otherwise(known)
+
+
 def compared(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_chars, edited, fingerprint, edited_fingerprint, near_edited, near_next).
 
@@ -95,27 +136,31 @@ def compared(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     cuts = base.agg(F.percentile_approx("id", [i / parts for i in range(1, parts)], 10 * parts)).head()[0] if parts > 1 else []
     cuts = sorted(set(cuts or []))
     part = F.size(F.filter(F.lit(cuts), lambda c: c < F.col("id"))) if cuts else F.lit(0)
-    rows = base.withColumn("part", F.when(F.col("id").isNull(), 0).otherwise(part))
+    # the texts are hashed here, where they are read in even splits, before ranges of ids put them together
+    base = base.withColumn("part", F.when(F.col("id").isNull(), 0).otherwise(part))
+    rows = base.withColumn("own", places(whole(F.col("text"))))
     known = F.struct(F.col("id").isNotNull().alias("known"), "id", "mark")
-    first = sorted((r["part"], r["head"]) for r in rows.groupBy("part").agg(F.min(known).alias("head")).collect())
+    first = sorted((r["part"], r["head"]) for r in base.groupBy("part").agg(F.min(known).alias("head")).collect())
     if not first:
-        heads = rows.select("part", F.col("text").alias("head_text"))
+        heads = base.select("part", F.col("text").alias("head_text"))
     else:
         follows = [(p, first[(i + 1) % len(first)][1]) for i, (p, _) in enumerate(first)]
         wanted = F.array(*[F.struct(F.lit(p).alias("of_part"), F.lit(h["id"]).cast("long").alias("head_id"), F.lit(h["mark"]).alias("head_mark"))
                            for p, h in follows])
         wanted = session.range(1).select(F.inline(wanted))
-        heads = (rows.join(F.broadcast(wanted), F.col("id").eqNullSafe(F.col("head_id")) & (F.col("mark") == F.col("head_mark")))
+        heads = (base.join(F.broadcast(wanted), F.col("id").eqNullSafe(F.col("head_id")) & (F.col("mark") == F.col("head_mark")))
                  .select(F.col("of_part").alias("part"), F.col("text").alias("head_text")).dropDuplicates(["part"]))
+    heads = heads.withColumn("head_places", places(F.col("head_text")))
     order = Window.partitionBy("part").orderBy(F.col("id").asc_nulls_first(), "mark")
-    placed = rows.join(heads.hint("shuffle_hash"), "part", "left").withColumn("inner", F.lead("text").over(order))
-    n, half = F.length("text"), F.floor(F.length("text") / 2).cast("int")
-    edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.coalesce("inner", "head_text"), F.lit(1), half))
-    marked = placed.select("part", "id", "mark", n.cast("long").alias("n_chars"), edited.alias("edited"), places(F.col("text")).alias("own"),
-                           F.when(F.col("inner").isNull(), hashes_of(places(F.col("head_text")))).alias("head_hashes"))
-    marked = marked.withColumns({"hashes": hashes_of(F.col("own")), "changed": places(F.col("edited"))})
-    marked = marked.withColumn("next_hashes", F.coalesce(F.lead("hashes").over(order), "head_hashes"))
-    return marked.select(F.col("id").alias(id_col), "n_chars", "edited", fingerprint_of(F.col("own")).alias("fingerprint"),
-                         fingerprint_of(F.col("changed")).alias("edited_fingerprint"),
-                         likeness(F.col("hashes"), hashes_of(F.col("changed"))).alias("near_edited"),
-                         likeness(F.col("hashes"), F.col("next_hashes")).alias("near_next"))
+    lead = lambda c: F.lead(c).over(order)
+    placed = rows.join(heads.hint("shuffle_hash"), "part", "left").withColumns({"inner": lead("text"), "inner_places": lead("own")})
+    placed = placed.withColumns({"next": F.coalesce("inner", "head_text"), "next_places": F.coalesce("inner_places", "head_places"),
+                                 "n": F.length("text"), "half": F.floor(F.length("text") / 2).cast("int")})
+    placed = placed.withColumns({"kept": F.col("n") - F.col("half"), "taken": F.least("half", F.length("next"))})
+    edited = F.concat(F.substring("text", F.lit(1), F.col("kept")), F.substring("next", F.lit(1), F.col("taken")))
+    placed = placed.withColumn("edited", edited).withColumn("changed", places_of_edited(
+        F.col("edited"), F.col("own"), F.col("kept"), F.col("next_places"), F.col("taken")))
+    own, changed = hashes_of(F.col("own")), hashes_of(F.col("changed"))
+    return placed.select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_chars"), "edited", fingerprint_of(F.col("own")).alias("fingerprint"),
+                         fingerprint_of(F.col("changed")).alias("edited_fingerprint"), likeness(own, changed).alias("near_edited"),
+                         likeness(own, hashes_of(F.col("next_places"))).alias("near_next"))

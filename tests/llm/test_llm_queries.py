@@ -50,28 +50,6 @@ def test_license_scan_finds_the_planted_notices(spark, docs):
     assert found == wanted and wanted
 
 
-def test_winnowing_against_brute_force(spark, docs):
-    k, w = 20, 32
-    own = {r.doc_id: r for r in QUERIES["op7_winnowing"](spark, FOLDER).collect()}
-    some = docs[:25]
-    grams = {t[j:j + k] for _, t in some for j in range(max(1, len(t) - k + 1)) if t}
-    hashes = dict(spark.createDataFrame([(g,) for g in grams], "g string").select("g", F.shiftrightunsigned(F.xxhash64("g"), 28)).collect())
-
-    def picked(t):
-        h = [hashes[t[j:j + k]] for j in range(max(1, len(t) - k + 1))] if t else []
-        return {min((x, -j) for j, x in enumerate(h) if a <= j < a + w) for a in range(max(1, len(h) - w + 1)) if h}
-    for n, (i, text) in enumerate(docs):
-        follow, half = docs[(n + 1) % len(docs)][1], len(text) // 2
-        assert own[i].edited_sha256 == brute.sha(text[:len(text) - half] + follow[:half])
-        assert own[i].n_chars == len(text)
-    for n, (i, text) in enumerate(some):
-        mine = picked(text)
-        assert own[i].fingerprint == " ".join(f"{x:x}@{-j}" for x, j in sorted(mine, key=lambda s: (-s[1], s[0])))
-        if n + 1 < len(some):
-            a, b = {x for x, _ in mine}, {x for x, _ in picked(some[n + 1][1])}
-            assert own[i].near_next == pytest.approx(len(a & b) / len(a | b) if a | b else 1.0)
-
-
 def test_suffix_dedup_against_brute_force(spark, docs):
     wanted = brute.bytes_removed(docs)
     for r in QUERIES["op9_suffix_dedup"](spark, FOLDER).collect():
