@@ -1,11 +1,16 @@
-"""Benchmark decontamination: item-sized windows at every start, bounds on their shared shingles, exact verification.
+"""Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming blocks, exact weighted verification.
 
 All steps are DataFrame functions. A document's windows have as many words as a benchmark item (all its words, if it has
-fewer) and start at any word. A document and an item are compared if the shingles of ``size`` words they share weigh
-enough for the item, and of its windows those are formed whose shared shingles weigh enough, each counted as often as it
-stands there: both bounds are at least the exact sum, so no window that is similar enough is passed over. Every pair of such a
-window and its item is verified exactly: 100 * sum of the lesser weights >= percent * sum of the greater weights, over the multisets of shingles.
-There is no fingerprint before it, so the miss rate is 0 but for clashes of 64-bit keys.
+fewer) and start at any word; a window without a shingle of an item has similarity 0 and needs no fingerprint. The SimHash counts
+each distinct shingle of ``size`` words once, so that long words move no more bits than short ones. Fingerprints are cut into ``BLOCKS``
+blocks of 16 bits: two that differ in at most ``RADIUS`` bits differ in at most ``RADIUS // BLOCKS`` bits of some block, and the items
+are listed under all such neighbours of each block. So every window within the radius of an item of its length is found by equal keys.
+
+A radius alone loses pairs, since the similarity weighs shingles by their length and a long token may carry much of it. Therefore pairs
+that the shared weight admits (the weight of the shingles they share, at most the exact sum, is enough) join those of the index.
+Every pair is verified exactly: 100 * sum of the lesser weights >= percent * sum of the greater weights, over the multisets of
+shingles. The miss rate is 0 but for clashes of 64-bit keys; ``hamming`` tells how many bits differ. Of the pairs that hold at 80
+percent, the radius by itself finds at least 0.9 in the tests.
 
 Defined results: words are lower-cased and apart at ASCII blanks. NULL or empty texts and items match nothing. Items of
 fewer than ``size`` words are one shingle. Repeated items are found each; repeated rows of a document give one row per
@@ -13,6 +18,9 @@ item. Of several windows of a document for an item the most similar counts, then
 """
 from __future__ import annotations
 
+from functools import reduce
+from itertools import combinations, zip_longest
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +29,8 @@ from rollbook.sources.tables import stage
 
 #: Item shingles are broadcast up to this many rows (about 32 bytes each), and joined by shuffling beyond.
 BROADCAST_ROWS = 500_000
+#: Two fingerprints within this many of 64 bits are compared; the blocks must cut 64 bits evenly.
+RADIUS, BLOCKS = 15, 4
 
 
 def _words(text: Column) -> Column:
@@ -55,13 +65,50 @@ def item_shingles(items: DataFrame, size: int, item_col: str, text_col: str) ->
             .select("item_id", F.size("words").alias("m"), F.least(F.size("words"), F.lit(size)).alias("k"), "words"))
 
 
+def fingerprint(h: Column) -> Column:
+    """Aggregate: the bits set in over half the hashes of a group. Three bits are counted in one sum, 21 bits apart."""
+    bits = []
+    for i in range(0, 64, 3):
+        lanes = [F.shiftleft(F.shiftrightunsigned(h, j).bitwiseAND(F.lit(1)), 21 * (j - i)) for j in range(i, min(i + 3, 64))]
+        held = F.sum(reduce(Column.bitwiseOR, lanes))
+        for j in range(i, i + len(lanes)):
+            ones = F.shiftright(held, 21 * (j - i)).bitwiseAND(F.lit((1 << 21) - 1))
+            bits.append(F.shiftleft(F.when(2 * ones > F.count(h), F.lit(1)).otherwise(F.lit(0)).cast("long"), j))
+    while len(bits) > 1:  # in pairs, so that the expression stays shallow
+        bits = [a.bitwiseOR(b) for a, b in zip_longest(bits[::2], bits[1::2], fillvalue=F.lit(0).cast("long"))]
+    return bits[0]
+
+
+def _blocks(print_: Column) -> Column:
+    """(block, bits) of a fingerprint."""
+    width = 64 // BLOCKS
+    return F.array(*[F.struct(F.lit(i).alias("block"), F.shiftrightunsigned(print_, i * width).bitwiseAND(F.lit((1 << width) - 1)).alias("bits"))
+                     for i in range(BLOCKS)])
+
+
+def _neighbours() -> list[int]:
+    """All patterns of at most RADIUS // BLOCKS bits of one block, 697 of them."""
+    width = 64 // BLOCKS
+    return [sum(1 << i for i in bits) for n in range(RADIUS // BLOCKS + 1) for bits in combinations(range(width), n)]
+
+
+def within_radius(windows: DataFrame, items: DataFrame) -> DataFrame:
+    """(key, m, start, item_id, hamming): windows and items of one length whose fingerprints (``print``) differ in RADIUS bits at most."""
+    index = (items.select("item_id", "m", F.col("print").alias("item_print"), F.inline(_blocks(F.col("print"))))
+             .select("item_id", "m", "item_print", "block", "bits", F.explode(F.lit(_neighbours())).alias("flip"))
+             .select("item_id", "m", "item_print", "block", F.col("bits").bitwiseXOR(F.col("flip")).alias("bits")))
+    apart = F.bit_count(F.col("print").bitwiseXOR(F.col("item_print")))
+    return (windows.select("key", "m", "start", "print", F.inline(_blocks(F.col("print")))).join(index, ["m", "block", "bits"])
+            .where(apart <= RADIUS).select("key", "m", "start", "item_id", apart.alias("hamming")).distinct())
+
+
 def contaminations(docs: DataFrame, items: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id",
-                   text_col: str = "text", item_col: str = "item_id") -> DataFrame:
-    """(key, doc_id, item_id, similarity, start_word, n_words): a row per document and item found in it.
+                   text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """(key, doc_id, item_id, similarity, start_word, n_words, hamming): a row per document and item found in it.
 
-    ``key`` tells rows with the same id and different texts apart; start_word counts from 0.
+    ``key`` tells rows with the same id and different texts apart; start_word counts from 0; ``hamming`` is NULL beyond RADIUS.
     """
-    items = stage(item_shingles(items, size, item_col, "text"))
+    items = stage(item_shingles(items, size, item_col, item_text_col))
     in_items = stage(_weighed(items, ["item_id", "m"], "words"))
     seeds = stage(items.select("item_id", "m", "k", F.explode(_hashes(F.col("words"), F.col("k"))).alias("s")).groupBy("item_id", "m", "k", "s.h")
                   .agg(F.count("*").alias("c"), F.max("s.n").alias("n")))
@@ -80,46 +127,64 @@ def contaminations(docs: DataFrame, items: DataFrame, size: int = 5, percent: in
         shared = one if shared is None else shared.unionByName(one)
     if shared is None:
         return own.select("key", "doc_id", F.lit(None).cast(items.schema["item_id"].dataType).alias("item_id"),
-                          F.lit(0.0).alias("similarity"), F.lit(0).alias("start_word"), F.lit(0).alias("n_words")).limit(0)
+                          F.lit(0.0).alias("similarity"), F.lit(0).alias("start_word"), F.lit(0).alias("n_words"),
+                          F.lit(0).alias("hamming")).limit(0)
     of_item = in_items.groupBy("item_id", "m").agg(F.sum("weight").alias("item_total"))
     of_item = seeds.groupBy("item_id", "m", "k").agg(F.collect_set("h").alias("wanted")).join(of_item, ["item_id", "m"])
-    possible = (shared.groupBy("key", "item_id", "m", "k").agg(F.sum(F.least("c", "d") * F.col("n")).alias("most"))
-                .join(of_item, ["item_id", "m", "k"]).where(100 * F.col("most") >= percent * F.col("item_total")).drop("most"))
+    possible = stage(shared.groupBy("key", "item_id", "m", "k").agg(F.sum(F.least("c", "d") * F.col("n")).alias("most"))
+                     .join(of_item, ["item_id", "m", "k"]).where(100 * F.col("most") >= percent * F.col("item_total")).drop("most"))
+    near_docs = stage(own.join(possible.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"]))
 
     def cut(w: Column) -> Column:
-        """The windows whose shared shingles, each counted as often as it stands there, could be enough."""
+        """The windows with at least half the shared weight that would do: each counted shingle as often as it stands there."""
         span = F.least(F.col("m"), F.size(w)) - F.col("k") + 1
+        last = F.greatest(F.size(w) - F.col("m"), F.lit(0))
 
         def weighed(s: Column) -> Column:
             def measured(i: Column) -> Column:
                 inside = F.slice(s, i + 1, span)
                 add = lambda name: F.aggregate(inside, F.lit(0).cast("long"), lambda x, y: x + y[name])
                 return F.struct(i.alias("start"), add("n").alias("total"), add("hit").alias("most"))
-            each = F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - F.col("m"), F.lit(0))), measured)
-            enough = F.filter(each, lambda x: 100 * x["most"] >= percent * (x["total"] + F.col("item_total") - x["most"]))
-            return F.transform(enough, lambda x: F.struct(x["start"].alias("start"), x["total"].alias("total"), F.slice(w, x["start"] + 1, F.col("m")).alias("words")))
-        hit = lambda x: F.struct(x["n"].alias("n"), F.when(F.array_contains("wanted", x["h"]), x["n"]).otherwise(0).alias("hit"))
+            hits = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda p: F.element_at(s, p + 1)["hit"] > 0)
+            starts = F.array_distinct(F.flatten(F.transform(hits, lambda p: F.sequence(
+                F.greatest(F.least(p - span + 1, last), F.lit(0)), F.least(p, last)))))
+            half = F.filter(F.transform(starts, measured), lambda x: 200 * x["most"] >= percent * F.col("item_total"))
+            return F.transform(half, lambda x: F.struct(
+                x["start"].alias("start"), x["total"].alias("total"),
+                (100 * x["most"] >= percent * (x["total"] + F.col("item_total") - x["most"])).alias("enough"),
+                F.array_distinct(F.transform(F.slice(s, x["start"] + 1, span), lambda y: y["h"])).alias("hashes")))
+        hit = lambda x: F.struct(x["h"].alias("h"), x["n"].alias("n"), F.when(F.array_contains("wanted", x["h"]), x["n"]).otherwise(0).alias("hit"))
         return let(F.transform(_hashes(w, F.col("k")), hit), weighed)
 
-    ids = ["key", "doc_id", "m", "start"]
-    windows = stage(own.join(possible, "key").select("key", "doc_id", "item_id", "m", "k", "item_total",
-                                                     F.inline(let(_words(F.col("text")), cut))))
-    in_windows = _weighed(windows.dropDuplicates(ids), ids, "words")
-    near = windows.select(*ids, "total", "item_id", "item_total").distinct()
-    common = (near.join(in_windows, ids).join(in_items.withColumnRenamed("weight", "item_weight"), ["item_id", "m", "g"])
-              .groupBy(*ids, "item_id", "total", "item_total").agg(F.sum(F.least("weight", "item_weight")).alias("lesser")))
+    at = ["key", "m", "start"]
+    of_pair = [*at, "item_id", "item_total", "total"]
+    formed = near_docs.join(possible, "key").select("key", "item_id", "m", "item_total", F.inline(let(_words(F.col("text")), cut)))
+    formed = stage(formed.select(*of_pair, "enough", F.explode("hashes").alias("h")).groupBy(*of_pair, "enough").agg(fingerprint(F.col("h")).alias("print")))
+    prints = seeds.groupBy("item_id", "m").agg(fingerprint(F.col("h")).alias("print"))
+    indexed = within_radius(formed.select(*at, "print").distinct(), prints)
+    admitted = formed.where("enough").select(*at, "item_id", F.lit(None).cast("int").alias("hamming"))
+    pairs = stage(indexed.unionByName(admitted).groupBy(*at, "item_id").agg(F.max("hamming").alias("hamming")))
+
+    in_document = near_docs.join(pairs.groupBy("key", "m").agg(F.collect_set("start").alias("starts")), "key")
+    windows = in_document.select("key", "m", F.explode("starts").alias("start"), _words(F.col("text")).alias("all"))
+    windows = windows.select(*at, F.slice("all", F.col("start") + 1, F.col("m")).alias("words"))
+    in_windows = stage(_weighed(windows.select(*at, "words", F.least("m", F.lit(size)).alias("k")), at, "words"))
+    totals = in_windows.groupBy(*at).agg(F.sum("weight").alias("total"))
+    near = pairs.join(totals, at).join(of_item.select("item_id", "item_total"), "item_id")
+    common = (near.join(in_windows, at).join(in_items.withColumnRenamed("weight", "item_weight"), ["item_id", "m", "g"])
+              .groupBy(*at, "item_id", "total", "item_total", "hamming").agg(F.sum(F.least("weight", "item_weight")).alias("lesser")))
     greater = F.col("total") + F.col("item_total") - F.col("lesser")
     found = (common.where(100 * F.col("lesser") >= percent * greater)
              .withColumn("similarity", F.col("lesser").cast("double") / greater))
-    best = F.max_by(F.struct("similarity", "start", "m"), F.struct(F.col("similarity"), -F.col("start")))
-    return (found.groupBy("key", "doc_id", "item_id").agg(best.alias("best"))
-            .select("key", "doc_id", "item_id", "best.similarity", F.col("best.start").alias("start_word"), F.col("best.m").alias("n_words")))
+    best = F.max_by(F.struct("similarity", "start", "m", "hamming"), F.struct(F.col("similarity"), -F.col("start")))
+    return (found.groupBy("key", "item_id").agg(best.alias("best")).join(near_docs.select("key", "doc_id"), "key")
+            .select("key", "doc_id", "item_id", "best.similarity", F.col("best.start").alias("start_word"), F.col("best.m").alias("n_words"), "best.hamming"))
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id",
-                    text_col: str = "text", item_col: str = "item_id") -> DataFrame:
+                    text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """The documents in which no item was found."""
     name = unused(docs, "bad_key")
-    bad = contaminations(docs, items, size, percent, id_col, text_col, item_col).select(F.col("key").alias(name)).distinct()
+    bad = contaminations(docs, items, size, percent, id_col, text_col, item_col, item_text_col).select(F.col("key").alias(name)).distinct()
     keyed = F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
     return docs.join(bad, keyed == F.col(name), "left_anti")

@@ -103,7 +103,7 @@ SELECT doc_id, item_id, similarity, CAST(start AS INTEGER) AS start_word, CAST(m
 @query(LEAK_SQL)
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    return decontaminate.contaminations(docs, table(spark, sf_dir, "benchmark")).drop("key")
+    return decontaminate.contaminations(docs, table(spark, sf_dir, "benchmark")).drop("key", "hamming")
 
 
 REPEAT_SQL = r"""
