@@ -129,7 +129,38 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: The pages carry no date of capture.
 CAPTURED = "2020-01-01T00:00:00Z"
 
-_SQL_TIDY = r"trim(regexp_replace(regexp_replace(replace(replace(replace(replace(replace(replace({}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&'), '[ \t\r\f\x0b]+', ' ', 'g'), ' ?\n[ \n]*', chr(10), 'g'), ' ' || chr(10))".replace('\\"', '"')
+
+def _sql(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_SQL_NAMES = "MAP {" + ", ".join(f"'{name}': {code}" for name, code in sorted(warc.NAMES.items())) + "}"
+
+
+def _sql_decoded(text: str) -> str:
+    """Character references decoded, as ``warc.decoded`` states it."""
+    code = (f"CASE WHEN regexp_matches(e, '^&#[xX]') THEN CAST('0x' || e[4:-2] AS BIGINT) WHEN e[2] = '#' THEN CAST(e[3:-2] AS BIGINT) "
+            f"ELSE map_extract({_SQL_NAMES}, e[2:-2])[1] END")
+    char = "CASE WHEN c = 0 OR c > 1114111 OR c BETWEEN 55296 AND 57343 THEN chr(65533) WHEN c IS NOT NULL THEN chr(CAST(c AS INTEGER)) END"
+    each = f"lambda e: coalesce(list_transform([{code}], lambda c: {char})[1], e)"
+    return (f"array_to_string(list_transform(list_zip(string_split_regex({text}, {_sql(warc.REFERENCE)}), "
+            f"list_append(list_transform(regexp_extract_all({text}, {_sql(warc.REFERENCE)}), {each}), '')), lambda z: z[1] || z[2]), '')")
+
+
+def _sql_tidy(text: str) -> str:
+    return (rf"trim(regexp_replace(regexp_replace({_sql_decoded(text)}, {_sql(warc.BLANKS)}, ' ', 'g'), ' ?\n[ \n]*', chr(10), 'g'), ' ' || chr(10))")
+
+
+def _sql_attribute(inside: str, name: str) -> str:
+    pairs = f"list_zip(regexp_extract_all({inside}, {_sql(warc.ATTRIBUTE)}, 1), regexp_extract_all({inside}, {_sql(warc.ATTRIBUTE)}, 2))"
+    value = f"list_filter({pairs}, lambda y: lower(y[1]) = '{name}')[1][2]"
+    plain = f"list_transform([{value}], lambda v: CASE WHEN v[1] IN (chr(34), chr(39)) THEN v[2:-2] ELSE v END)[1]"
+    return _sql_decoded(plain)
+
+
+#: Each link in order, NULL for a tag without one.
+_SQL_LINKS = f"list_transform(regexp_extract_all(html, {_sql('(?i)<a' + warc.INSIDE)}, 1), lambda tag: {_sql_attribute('tag', 'href')})"
+_SQL_LANG = f"coalesce({_sql_attribute('regexp_extract(html, ' + _sql('(?i)<html' + warc.INSIDE) + ', 1)', 'lang')}, '')"
 _SQL_UUID = "'<urn:uuid:' || substr({0}, 1, 8) || '-' || substr({0}, 9, 4) || '-' || substr({0}, 13, 4) || '-' || substr({0}, 17, 4) || '-' || substr({0}, 21, 12) || '>'"
 WARC_SQL = rf"""
 WITH p AS (SELECT page_id, coalesce(url, '') AS uri, coalesce(html, '') AS html FROM pages),
@@ -139,10 +170,11 @@ i AS (SELECT *, md5(uri || '|{CAPTURED}|' || payload_digest) AS h FROM r),
 u AS (SELECT *, {_SQL_UUID.format('h')} AS response_id FROM i),
 d AS (SELECT *, md5(response_id || '|metadata') AS hm, md5(response_id || '|conversion') AS hc,
              regexp_replace(html, '(?is)<!--.*?-->|<script[^>]*>.*?</script>|<style[^>]*>.*?</style>', '', 'g') AS t0 FROM u),
-t AS (SELECT *, regexp_replace(regexp_replace(t0, '(?i)</?(p|div|br|li|ul|ol|tr|table|h[1-6]|article|section|header|footer|nav|title|blockquote|pre)( [^>]*)?/?>', chr(10), 'g'), '<[^>]*>', '', 'g') AS t1 FROM d),
-x AS (SELECT *, {_SQL_TIDY.format('t1')} AS text, {_SQL_TIDY.format("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")} AS title FROM t)
+t AS (SELECT *, regexp_replace(regexp_replace(t0, '(?i)</?(p|div|br|li|ul|ol|tr|table|h[1-6]|article|section|header|footer|nav|title|blockquote|pre)([ \t\r\n\f][^>]*)?/?>', chr(10), 'g'), '<[^>]*>', '', 'g') AS t1 FROM d),
+x AS (SELECT *, {_sql_tidy('t1')} AS text, {_sql_tidy("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")} AS title,
+      {_SQL_LANG} AS lang, list_filter({_SQL_LINKS}, lambda x: x IS NOT NULL) AS every FROM t)
 SELECT page_id, response_id, {_SQL_UUID.format('hm')} AS metadata_id, {_SQL_UUID.format('hc')} AS conversion_id, uri AS target_uri, title,
-       regexp_extract(html, '(?i)<html[^>]* lang="([^"]*)"', 1) AS lang, len(list_distinct(regexp_extract_all(html, '(?i)<a [^>]*href="([^"]*)"', 1))) AS n_links,
+       lang, len(list_distinct(every)) AS n_links,
        payload_digest, 'sha256:' || sha256(head || html) AS block_digest,
        sha256('WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: conversion' || chr(13) || chr(10) || 'WARC-Record-ID: ' || {_SQL_UUID.format('hc')} || chr(13) || chr(10)
               || 'WARC-Date: {CAPTURED}' || chr(13) || chr(10) || 'WARC-Target-URI: ' || uri || chr(13) || chr(10) || 'WARC-Refers-To: ' || response_id || chr(13) || chr(10)
@@ -161,10 +193,9 @@ def op4_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: The other half: the metadata record, and the outlinks in order, one a line.
 METADATA_SQL = WARC_SQL[:WARC_SQL.rindex("FROM x") + 6].rpartition("\nSELECT page_id")[0] + rf""",
-o AS (SELECT *, {_SQL_UUID.format('hm')} AS metadata_id, {_SQL_UUID.format('hc')} AS conversion_id, chr(13) || chr(10) AS nl,
-             regexp_extract(html, '(?i)<html[^>]* lang="([^"]*)"', 1) AS lang, regexp_extract_all(html, '(?i)<a [^>]*href="([^"]*)"', 1) AS every FROM x),
+o AS (SELECT *, {_SQL_UUID.format('hm')} AS metadata_id, {_SQL_UUID.format('hc')} AS conversion_id, chr(13) || chr(10) AS nl FROM x),
 l AS (SELECT *, list_filter(every, lambda v, i: list_position(every, v) = i) AS links FROM o),
-f AS (SELECT *, 'title: ' || replace(title, chr(10), ' ') || nl || 'language: ' || lang || nl || 'source-header: HTTP/1.1 200 OK' || nl
+f AS (SELECT *, 'title: ' || replace(title, chr(10), ' ') || nl || 'language: ' || regexp_replace(lang, '[\r\n]+', ' ', 'g') || nl || 'source-header: HTTP/1.1 200 OK' || nl
              || 'source-header: Content-Type: text/html; charset=utf-8' || nl || 'source-header: Content-Length: ' || strlen(html) || nl
              || 'source-payload-digest: ' || payload_digest || nl || 'source-block-digest: sha256:' || sha256(head || html) || nl
              || 'conversion: ' || conversion_id || nl

@@ -257,6 +257,30 @@ def test_warc(spark, tmp_path, frame):
     assert warc.derive(warc.responses(pages.limit(0).drop("title"), "x")).count() == 0
 
 
+def test_warc_attributes_references_and_names(spark, frame):
+    html = ("<html\nlang='fr' class=x><title>caf&eacute; &#x1F600;&#55296;&nosuch;&amp;lt;</title><p\nclass=a>1&nbsp;\u00a02</p><a title='a>b' href='/1?a=1&amp;b=2'>x</a><a href=/2>"
+            "<a\nhref = \"/3\"><a data-href=\"/no\" HREF=\"/4\"><a name=q><a href=\"/4\"><a href=''>")
+    pages = frame("url string, html string, title string, Payload string, record_id string, lang string, extra int", [("u", html, "t", "p", "r", "l", 5)])
+    row = warc.derive(warc.responses(pages, "2020-01-01T00:00:00Z")).collect()[0]
+    assert row.links == ["/1?a=1&b=2", "/2", "/3", "/4", ""] and row.lang == "fr" and row.extra == 5
+    assert row.title == "café 😀\ufffd&nosuch;&lt;" and row.text.split("\n")[:2] == [row.title, "1 2"]
+    assert row.payload == html and row.record_id.startswith("<urn:uuid:")
+
+
+@pytest.mark.parametrize("compression", ["none", "gzip"])
+def test_warc_responses_read_back(spark, tmp_path, frame, compression):
+    pages = frame("url string, html string", [("http://a/é", "<p>é</p>\n\n<a href=x>"), (None, None), ("http://b", "line\r\n\r\nWARC/1.1 is no record\n"),
+                                              ("http://c", "cut WARC/1.1\r\nhere")])
+    made = warc.responses(pages, "2020-01-01T00:00:00Z")
+    warc.write(warc.derive(made).repartition(2), "response_record", str(tmp_path / "w"), compression)
+    found = warc.read_responses(spark, str(tmp_path / "w"))
+    whole = found.where("intact").drop("intact")
+    assert sorted(whole.collect()) == sorted(made.where("target_uri <> 'http://c'").select(*whole.columns).collect())
+    assert [r.target_uri for r in found.where("NOT intact").collect()] == ["http://c"]
+    again = {r.record_id: r.metadata_record for r in warc.derive(whole).collect()}
+    assert again == {r.record_id: r.metadata_record for r in warc.derive(made).collect() if r.target_uri != "http://c"}
+
+
 def test_winnowing(odd, none):
     rows = winnowing.compared(odd).collect()
     assert len(rows) == len(ROWS) and all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in rows)
