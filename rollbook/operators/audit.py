@@ -72,9 +72,20 @@ def dq_report(result: DataFrame, record: DataFrame, rules: RuleSet) -> DataFrame
     for i, pairs in enumerate(rules.mismatch.values()):
         own = [f"v{columns.index(c)}" for c in pairs]
         agreeing[f"equal{i}"] = own
-    if all(own == values for own in agreeing.values()):
-        per_key = parts.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums], *[F.sum(F.col("mine") * F.col("record")).alias(e) for e in agreeing])
-    else:  # rules on different columns: the cells, which are few, are counted once for each list of columns
+    lists = sorted({tuple(sorted(own)) for own in agreeing.values()}, key=len, reverse=True)
+    if all(set(less) <= set(more) for more, less in zip(lists, lists[1:])):
+        # each list holds the next: the cells are summed up from list to list, which makes no rows, and a product of each sum counts
+        # the pairs that agree
+        at, held = tuple(sorted(values)), list(sums)
+        for own in [*lists, ()]:
+            if own != at:
+                parts = parts.groupBy(*keys, *own).agg(*[F.sum(c).alias(c) for c in held])
+                at = own
+            met = [e for e, listed in agreeing.items() if tuple(sorted(listed)) == own and e not in held]
+            parts = parts.withColumns({e: F.col("mine") * F.col("record") for e in met})
+            held += met
+        per_key = parts
+    else:  # lists that overlap or differ: the cells, which are few, are counted once for each list of columns
         tagged = F.explode(F.array(*[F.struct(F.lit(e).alias("rule"), F.struct(*[F.when(F.lit(v in own), F.col(v)).otherwise(nothing).alias(v) for v in values]).alias("value"))
                                      for e, own in agreeing.items()]))
         each = (parts.select(*keys, *sums, tagged.alias("x")).groupBy(*keys, "x.rule", "x.value").agg(*[F.sum(c).alias(c) for c in sums]))

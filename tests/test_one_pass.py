@@ -58,6 +58,21 @@ def test_report_counts_what_each_rule_returns(frame, seed):
     assert sorted((tuple(r) for r in dq_report(result, record, rules).select("rule", "k", "d", "n").collect()), key=str) == wanted
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_report_on_nested_lists_of_columns_multiplies_no_rows(frame, static, seed):
+    """Rules on (a, b, v), (a, b) twice and a: each grouping is of the one before. Only the finished lines are exploded."""
+    rng = random.Random(seed)
+    one = lambda *values: rng.choice(values)
+    result = frame(MINE, [(one("a", "b", None), 1, one("x", "X ", None), one("y", "", "z"), one("u", "w")) for _ in range(50)])
+    record = frame(THEIRS, [(one("a", "b", None), 1, one("x", "y", ""), one("y", " "), "on", one("u", "W")) for _ in range(50)])
+    lists = {"all": {"a": "ra", "b": "rb", "v": "rv"}, "two": {"b": "rb", "a": "ra"}, "again": {"a": "ra", "b": "rb"}, "one": {"a": "ra"}}
+    report = dq_report(result, record, RuleSet({"k": "rk"}, "twice", lists))
+    found = {tuple(r) for r in report.where("rule <> 'twice'").select("rule", "k", "n").collect()}
+    assert found == {(name, r["k"], r["count"]) for name, pairs in lists.items()
+                     for r in op.dq_mismatch(result, record, {"k": "rk"}, pairs).groupBy("k").count().collect()}
+    assert plan(report).count("Generate explode") == 1
+
+
 def test_report_on_empty_tables(frame):
     rules = RuleSet({"k": "rk"}, "twice", {"both": {"a": "ra"}}, {"gone": Missing("v", "rv", F.lit(True))})
     none, one = frame(MINE, []), frame(THEIRS, [("a", 1, "x", "y", "on", "z")])
