@@ -513,7 +513,8 @@ _COHORT = _RECORDS + """,
 
 
 def _cohort(t: Tables) -> DataFrame:
-    return co.cohort_data(*[feed(t, n) for n in _COHORT_FEEDS])
+    """The cohort table with equal rows left in: each query below takes distinct rows of its own columns, or looks up students."""
+    return co.cohort_data(*[feed(t, n) for n in _COHORT_FEEDS], distinct=False)
 
 
 @query("D18,D19,D20,D21,D22,D23,J8,J10,J13,J14,A3,P6,P7,P15,T6,T7,T16,T17,T18,T19", with_feeds(_COHORT_FEEDS, _COHORT + """

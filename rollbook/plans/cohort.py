@@ -209,8 +209,9 @@ RECORD_COLUMNS = ["usi", "lea_code", "lea_name", "school_code", "school_name", "
 
 def cohort_data(records: DataFrame, degree_schools: DataFrame, leas: DataFrame, exits: DataFrame,
                 exit_status: DataFrame, workflow: DataFrame, power_leas: DataFrame, school_year: str = "2017-18",
-                power_year: str = "2017-2018", cut: Callable[[DataFrame], DataFrame] = stage) -> DataFrame:
-    """The cohort table. ``cut`` ends the lineage of the distinct records, which feed the tie rules and the table itself, of the
+                power_year: str = "2017-2018", cut: Callable[[DataFrame], DataFrame] = stage, distinct: bool = True) -> DataFrame:
+    """The cohort table. ``distinct=False`` leaves equal rows in, which saves a shuffle of whole rows where the caller takes the distinct ones of
+    some columns, or looks up keys. ``cut`` ends the lineage of the distinct records, which feed the tie rules and the table itself, of the
     flagged rows, which feed two groupings and their join back, and of the finished rows, which feed one more; without it each branch would run the whole chain again."""
     univ = cut(distinct_of(records.withColumnRenamed("current_enrolled_grade", "grade"), RECORD_COLUMNS))
     degree, non_degree = degree_lists(degree_schools)
@@ -231,7 +232,7 @@ def cohort_data(records: DataFrame, degree_schools: DataFrame, leas: DataFrame,
     rows = cut(rows.drop(*flags, "at_degree_school").withColumn("acgr_universe", F.lit("YES")))
     rows = single_responsible(rows, "usi", "lea_indicator", equals("lea_detail", TEXT["enrolled"]),
                               demote=["lea_indicator", "school_indicator"])
-    return rows.distinct()
+    return rows.distinct() if distinct else rows
 
 
 def cohort_report(cohort: DataFrame) -> DataFrame:

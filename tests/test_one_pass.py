@@ -155,3 +155,10 @@ def test_attributes_by_one_join_repeat_rows_as_one_join_each_would(frame):
     got = op.eav_columns(rows, eav, {"first": "one", "second": "two"}, {"k": "key"})
     each = op.eav_lookup(op.eav_lookup(rows, eav, "one", {"k": "key"}, "first"), eav, "two", {"k": "key"}, "second")
     assert values(got, "k", "x", "first", "second") == values(each, "k", "x", "first", "second") and got.count() == 9
+
+
+def test_cohort_report_takes_distinct_rows_once(spark, static):
+    """The report has the exchanges of the cohort table itself: equal rows are put together once, on the report's columns."""
+    t = Tables(spark, FOLDER)
+    table = dm.co.cohort_data(*[dm.feed(t, n) for n in dm._COHORT_FEEDS])
+    assert shuffles(QUERIES["cohort_report"].run(t)) == shuffles(table)
