@@ -3,8 +3,8 @@
 Every run of ``k`` code points is hashed; of each window of ``w`` neighbouring hashes the least is selected, the rightmost
 one where it occurs more than once. So two texts that share ``w + k - 1`` code points share a selected hash, and its
 position says where. Hash and place are kept in one number (36 bits of hash, 27 bits that fall as the position
-rises), whose least is the rightmost least hash; window minima come from minima over 8 and 32 neighbours. The window moves over the runs
-that a look-ahead pattern gives; a hash rolled from code point to code point, in one scan by ``aggregate``, gave the same selection
+rises), whose least is the rightmost least hash; window minima come from minima over 2, 4, 8 and 16 neighbours. The runs are cut from pieces
+of ``w`` code points and what reaches into the next; a hash rolled from code point to code point, in one scan by ``aggregate``, gave the same selection
 but took over five times as long, as each step of such a scan makes new rows and arrays.
 
 Long texts are cut into segments that overlap by ``w + k - 2`` code points, so that each window lies in one segment; windows
@@ -18,6 +18,8 @@ raise. Extra columns are not carried along.
 """
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,26 +35,42 @@ def _nothing() -> Column:
     return F.array().cast("array<bigint>")
 
 
+def _blocks(segment: Column, first: Column, k: int, w: int) -> Column:
+    """The numbers (hash, position) of all runs of a segment of at least k code points, in blocks of w by position."""
+    def runs(text: Column, top: Column) -> Column:
+        # the place of a character in a text is found by counting from the start, hence the short pieces; a byte's place is known
+        return F.transform(F.sequence(F.lit(1), F.length(text) - (k - 1)), lambda i: F.shiftrightunsigned(F.xxhash64(F.substring(text, i, F.lit(k))), 1)
+                           .bitwiseAND(F.lit(~_TOP)).bitwiseOR((top - i).cast("long")))
+
+    def block(text: Column, nth: Column) -> Column:
+        return let(F.lit(_TOP + 1) - first - nth * w, lambda top: F.when(
+            F.length(text) == F.octet_length(text), let(text.cast("binary"), lambda raw: runs(raw, top))).otherwise(runs(text, top)))
+    # each piece reaches into the next, so that it has all runs that begin in its first w code points
+    pieces = F.regexp_extract_all(segment, F.lit(rf"(?s)(?=(.{{1,{w + k - 1}}})).{{1,{w}}}"), 1)
+    return F.transform(F.filter(pieces, lambda t: F.length(t) >= k), block)
+
+
 def _least(values: Column, w: int) -> Column:
-    """The least of each w neighbours; all in one window where there are fewer. A step takes up to eight places at once."""
+    """The distinct least ones of each w neighbours, by position; all in one window where there are fewer.
+
+    A step zips the minima with themselves moved on, which doubles their reach. -1, less than any number, fills the ends, so that of
+    windows beyond them nothing else is left; this is cheaper than slices."""
+    def ends(n: int) -> Column:
+        return F.array_repeat(F.lit(-1).cast("long"), n)
+
     def spread(have: int, at: Column) -> Column:
         if have == w:
-            return at
-        to = min(8 * have, w)
-        offsets = sorted({*range(have, to - have + 1, have), to - have})
-        wider = let(at, lambda a: F.transform(F.slice(a, 1, F.size(a) - (to - have)), lambda x, i: F.least(x, *[F.get(a, i + o) for o in offsets])))
-        return spread(to, wider)
+            return F.array_remove(F.array_distinct(at), F.lit(-1).cast("long"))
+        step = min(have, w - have)
+        return spread(have + step, let(at, lambda a: F.zip_with(F.concat(a, ends(step)), F.concat(ends(step), a), lambda x, y: F.least(x, y))))
     return let(values, lambda v: F.when(F.size(v) <= w, F.array(F.array_min(v))).otherwise(spread(1, v)))
 
 
 def selected(segment: Column, first: Column, k: int = K, w: int = W) -> Column:
     """Distinct numbers (hash, position) selected in a segment whose first run has position ``first`` (from 0), by position."""
-    # a match may not begin between the two halves of a character beyond U+FFFF
-    runs = F.when(F.length(segment) < k, F.array(segment)).otherwise(
-        F.regexp_extract_all(segment, F.lit(rf"(?s)(?![\uDC00-\uDFFF])(?=(.{{{k}}}))"), 1))
-    numbers = F.transform(runs, lambda run, i: F.shiftleft(F.shiftrightunsigned(F.xxhash64(run), POSITION_BITS + 1), POSITION_BITS)
-                          .bitwiseOR((F.lit(_TOP) - first - i).cast("long")))
-    return F.array_distinct(_least(numbers, w))
+    short = F.shiftrightunsigned(F.xxhash64(segment), 1).bitwiseAND(F.lit(~_TOP)).bitwiseOR((F.lit(_TOP) - first).cast("long"))
+    found = _least(F.flatten(_blocks(segment, first, k, w)), w)
+    return F.when(F.length(segment) < k, F.array(short)).otherwise(found)
 
 
 def segments(text: Column, k: int = K, w: int = W, size: int = SEGMENT) -> Column:

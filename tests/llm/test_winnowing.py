@@ -74,3 +74,11 @@ def test_a_shared_passage_is_found_at_its_place(spark):
     found = [dict(p.split("@") for p in r["f"].split()) for r in rows]
     shared = [(int(found[0][h]) - 3000, int(found[1][h]) - 2800) for h in found[0].keys() & found[1].keys()]
     assert shared and all(a == b and 0 <= a < W for a, b in shared)
+
+
+@pytest.mark.parametrize("text", ["plain " * 40, "aé😀𝄞z" * 30, "x" * 63 + "é" + "y" * 90, "a" * K, "b" * (K + W)])
+def test_blocks_hold_every_run_by_position(spark, text):
+    """Also where a block is of single bytes and the next is not."""
+    rows = spark.createDataFrame([(text,)], "t string").select(winnowing._blocks(F.col("t"), F.lit(7), K, W).alias("b")).head()["b"]
+    assert all(len(b) == W for b in rows[:-1]) and 0 < len(rows[-1]) <= W
+    assert [((x >> 27), winnowing._TOP - (x & winnowing._TOP)) for b in rows for x in b] == [(gram(text[i:i + K]), i + 7) for i in range(len(text) - K + 1)]
