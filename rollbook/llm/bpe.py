@@ -42,7 +42,9 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int]) -> None:
         self.ranks = ranks
         self.token_bytes = {i: t for t, i in ranks.items()}
-        self.starts = {t[:n] for t in ranks for n in range(1, len(t) + 1)}  # every prefix of a token
+        self.sizes = {i: len(t) for t, i in ranks.items()}
+        # every prefix of a token -> its rank, -1 where it is no token itself
+        self.starts = {t[:n]: -1 for t in ranks for n in range(1, len(t))} | ranks
         self.pairs: dict[tuple[int, int], bool] = {}
         self.grown: dict[int, tuple[list, list, bool]] = {}
         self.clear()
@@ -124,36 +126,49 @@ class Transducer:
         way: list[int] = []
         while end > 0:
             way.append(lasts[end - 1])
-            end -= len(self.token_bytes[way[-1]])
+            end -= self.sizes[way[-1]]
         return way[::-1]
 
+    def _settled(self, live: list[int], lasts: tuple[int, ...]) -> int:
+        """The last position that lies on the ways back from all of the ``live`` ones, which are in order."""
+        at, sizes = live[-1], self.sizes
+        for other in live[-2::-1]:
+            while at != other:
+                if at > other:
+                    at -= sizes[lasts[at - 1]]
+                else:
+                    other -= sizes[lasts[other - 1]]
+        return at
+
     def step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         """Make the edge of a state for a byte: next state and tokens emitted."""
         before, pending, known, live = self.states[state]
         pending += bytes([byte])
-        live = [p for p in live if pending[p:] in self.starts]
+        still, starts = [], self.starts
         last = -1  # stays so where the true last token begins before what was emitted; no token can begin after it
         for p in live:
-            token = self.ranks.get(pending[p:])
-            if token is not None and self.fits(known[p - 1] if p else before, token):
-                last = token
-                break
+            token = starts.get(pending[p:])
+            if token is not None:
+                still.append(p)
+                if last < 0 <= token and self.fits(known[p - 1] if p else before, token):
+                    last = token
         lasts = (*known, last)
         if last >= 0:
-            live.append(len(pending))  # a token may begin with the next byte
+            still.append(len(pending))  # a token may begin with the next byte
         # nothing is settled while a token may begin where the pending bytes do
-        ways = [self._way_back(p, lasts) for p in live] if live[0] else [[]]
-        shared = ways[0]
-        for way in ways[1:]:
-            k = 0
-            while k < min(len(shared), len(way)) and shared[k] == way[k]:
-                k += 1
-            shared = shared[:k]
-        cut = sum(len(self.token_bytes[t]) for t in shared)
-        key = (shared[-1] if shared else before, pending[cut:])
+        cut = self._settled(still, lasts) if still[0] else 0
+        if not cut:
+            key = (before, pending)
+            if key not in self.index:
+                self.index[key] = len(self.states)
+                self.states.append((before, pending, lasts, tuple(still)))
+            edge = self.edges[state << 8 | byte] = (self.index[key], ())
+            return edge
+        shared = self._way_back(cut, lasts)
+        key = (shared[-1], pending[cut:])
         if key not in self.index:
             self.index[key] = len(self.states)
-            self.states.append((*key, lasts[cut:], tuple(p - cut for p in live)))
+            self.states.append((*key, lasts[cut:], tuple([p - cut for p in still])))
         edge = (self.index[key], tuple(shared))
         self.edges[state << 8 | byte] = edge
         return edge
@@ -165,8 +180,9 @@ class Transducer:
         state, out, edges = 0, [], self.edges
         for byte in piece:
             edge = edges.get(state << 8 | byte) or self.step(state, byte)
-            state = edge[0]
-            out += edge[1]
+            state, tokens = edge
+            if tokens:
+                out += tokens
         rest = self.ends.get(state)
         if rest is None:
             rest = self.ends[state] = tuple(self._way_back(len(self.states[state][1]), self.states[state][2]))

@@ -1,4 +1,5 @@
 """NULLs, empty and long texts, ties, repeated rows, empty tables and clashing columns, for each operator and stage."""
+import itertools
 import random
 import struct
 import textwrap
@@ -342,3 +343,15 @@ def test_pipeline_stages(spark, odd, none, nth):
         assert nth == 4 or found.columns == docs.columns
         kept = found.count()
         assert kept <= docs.count() and (kept > 0 or not docs.count())
+
+
+def test_an_edge_that_emits_nothing_follows_no_way_back(monkeypatch):
+    """Ways back are followed once where tokens are settled and once where a piece ends."""
+    ranks = {bytes([b]): i for i, b in enumerate(b"abcd")} | {b"ab": 4, b"cd": 5, b"abcd": 6, b"bc": 7, b"aa": 8, b"aab": 9, b"dd": 10}
+    machine, followed = bpe.Transducer(ranks), []
+    plain = machine._way_back
+    monkeypatch.setattr(machine, "_way_back", lambda end, lasts: followed.append(end) or plain(end, lasts))
+    for n in range(1, 7):
+        for piece in map(bytes, itertools.product(b"abcd", repeat=n)):
+            assert machine.run(piece) == machine.merge(piece)
+    assert len(followed) <= sum(bool(tokens) for _, tokens in machine.edges.values()) + len(machine.ends)
